@@ -20,7 +20,6 @@ INTEGER = "BIGINT"
 BOOLEAN = "BOOLEAN"
 DOUBLE = "DOUBLE"
 DECIMAL = "DECIMAL"
-STRING_ARRAY = "ARRAY<STRING>"
 
 
 def at(v: Column, path: str) -> Column:
@@ -33,6 +32,10 @@ def present(v: Column) -> Column:
     return v.isNotNull()
 
 
+def itself(v: Column) -> Column:
+    return v
+
+
 def text(v: Column) -> Column:
     """A JSON string."""
     return F.when(F.schema_of_variant(v) == STRING, F.variant_get(v, "$", "string"))
@@ -43,11 +46,6 @@ def whole(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == INTEGER, F.variant_get(v, "$", "bigint"))
 
 
-def whole32(v: Column) -> Column:
-    """``whole`` cut to its low 32 bits, so that overflow wraps instead of failing."""
-    return F.shiftright(F.shiftleft(whole(v), 32), 32).cast("int")
-
-
 def number(v: Column) -> Column:
     """Any JSON number as a double."""
     kind = F.schema_of_variant(v)
@@ -66,21 +64,11 @@ def items(v: Column) -> Column:
 
 
 def texts(v: Column) -> Column:
-    """The strings of a JSON array, other elements dropped; NULL if not an array.
-
-    Arrays that hold only strings (and nulls) are cast in one go; the
-    element-by-element route is for mixed arrays.
-    """
-    alike = F.variant_get(v, "$", "array<string>")
-    mixed = F.transform(items(v), text)
-    return F.array_compact(
-        F.when(F.schema_of_variant(v) == STRING_ARRAY, alike).otherwise(mixed)
-    )
+    """The elements of a JSON array as strings, with NULL for those that are none."""
+    return F.transform(items(v), text)
 
 
-def joined(v: Column, separator: str = "; ") -> Column:
-    """``texts`` as one string; an empty array gives the empty string."""
-    return F.array_join(texts(v), separator)
+# ---- on columns that are read already
 
 
 def compact(v: Column) -> Column:
@@ -91,7 +79,16 @@ def compact(v: Column) -> Column:
     return F.to_json(v)
 
 
-def first_text(v: Column, path: str) -> Column:
-    """The first string found at ``path`` among the elements of a JSON array."""
-    found = F.transform(items(v), lambda e: text(at(e, path)))
-    return F.get(F.array_compact(found), F.lit(0))
+def wrapped(n: Column) -> Column:
+    """A 64-bit integer cut to its low 32 bits: overflow wraps instead of failing."""
+    return F.shiftright(F.shiftleft(n, 32), 32).cast("int")
+
+
+def joined(texts: Column, separator: str = "; ") -> Column:
+    """Strings as one, without the NULLs; an empty array gives the empty string."""
+    return F.array_join(texts, separator)
+
+
+def first(values: Column) -> Column:
+    """The first element that is not NULL."""
+    return F.get(F.array_compact(values), F.lit(0))

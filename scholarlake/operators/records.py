@@ -1,9 +1,8 @@
 """Lines to typed records, typed records to table rows.
 
-A record has ``id``, ``file_no``, ``line_no`` and one column per output table,
-already in its final types: a struct (one row), a nullable struct (one row or
-none) or an array of structs (any number of rows).  No JSON is left in a
-record, so what later steps shuffle or store is only what the tables hold.
+A record has ``id``, ``file_no``, ``line_no`` and the top-level keys its tables
+read, in the types of their shapes.  No JSON tree is left in it, so what later
+steps shuffle or store is only what the tables hold.
 """
 
 from __future__ import annotations
@@ -15,14 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.functions import strict_json as js
+from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, strict, trusted
 
-# from_json() accepts more than JSON unless told otherwise.  FAILFAST: a
-# malformed line fails the run.
-JSON_OPTIONS = {
-    "mode": "FAILFAST",
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
+# from_json() accepts more than JSON unless told otherwise.
+STRICT_SYNTAX = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+CORRUPT = "_corrupt"
 
 # What separates tokens in JSON, and lines that hold nothing but white space.
 JSON_SPACE = " \t\r\n"
@@ -31,40 +27,75 @@ BLANK_LINE = r"^[\s\u0085\p{Z}]*$"
 
 @dataclass(frozen=True)
 class RecordTable:
-    """How one output table is cut out of the records of an entity."""
+    """How one output table is cut out of the records of an entity.
+
+    The rows come from the record itself; from an object in it, none if the key
+    is missing (``child``); or from the elements of an array (``each``).
+    """
 
     name: str
     id_column: str  # the name of the record's id in this table
-    reads: tuple[str, ...]  # top-level JSON keys
-    build: Callable[[Column], Column]  # parsed JSON -> struct or array of structs
-    many: bool = False  # build gives an array
+    shape: dict[str, Shape]  # top-level keys
+    columns: Callable[[Callable[[str], Column]], dict[str, Column]]  # from a field getter
+    child: str | None = None
+    each: str | None = None
+    required: str | None = None  # rows that lack this column are dropped
     rows_per_file: int = 1_000_000  # for output files of some 100 MB
 
 
+def record_shape(tables: Sequence[RecordTable]) -> dict[str, Shape]:
+    return {key: shape for table in tables for key, shape in table.shape.items()}
+
+
 def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
-    """Lines (file_no, line_no, value) to records with the columns of ``tables``.
+    """Lines (file_no, line_no, value) to the records of ``tables``.
 
-    Only the top-level keys those tables read are materialised, each as VARIANT;
-    the parser checks and skips the rest.  Blank lines and records whose id is
-    not a string are dropped.
+    Every line is parsed into typed columns; the few that may have lost
+    something on the way are parsed again, strictly.  A malformed line fails
+    the run.  Blank lines and records whose id is not a string are dropped.
     """
-    keys = dict.fromkeys(["id", *(key for table in tables for key in table.reads)])
-    schema = ", ".join(f"`{key}` variant" for key in keys)
-    parsed = lines.select(
-        "file_no",
-        "line_no",
-        F.from_json(_object_line("value"), schema, JSON_OPTIONS).alias("json"),
-        # Last sort key of first_per_id; also keeps the filter on id below
-        # from being pushed under the parse and parsing twice.
-        F.monotonically_increasing_id().alias("arrival"),
+    shape = {"id": TEXT, **record_shape(tables)}
+    fields = ", ".join(f"`{key}` {ddl(part)}" for key, part in shape.items())
+    variants = ", ".join(f"`{key}` variant" for key in shape)
+    typed, json = F.col("typed"), F.col("json")
+
+    parsed = lines.withColumn(
+        "typed",
+        F.from_json(
+            "value",
+            f"{fields}, {CORRUPT} string",
+            {**STRICT_SYNTAX, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+        ),
+    )
+    regular = (
+        F.col("value").startswith("{") & typed[CORRUPT].isNull() & trusted(typed, shape)
     )
-    json = F.col("json")
-    return parsed.select(
-        js.text(json["id"]).alias("id"),
+    # A NULL object may stand for a missing key or for null.
+    unclear = {
+        table.child: typed[table.child].isNull()
+        for table in tables
+        if table.child and not table.required
+    }
+    judged = parsed.withColumn("regular", regular)
+    second = ~F.col("regular")
+    for is_unclear in unclear.values():
+        second = second | is_unclear
+    again = F.from_json(_object_line("value"), variants, {**STRICT_SYNTAX, "mode": "FAILFAST"})
+    both = judged.withColumn("json", F.when(second, again))
+
+    def field(key: str) -> Column:
+        part = shape[key]
+        clear = F.col("regular") & ~unclear[key] if key in unclear else F.col("regular")
+        value = F.when(clear, typed[key]).otherwise(strict(json[key], part))
+        return (js.compact(value) if part == JSON else value).alias(key)
+
+    return both.select(
+        *map(field, shape),
         "file_no",
         "line_no",
-        "arrival",
-        *(table.build(json).alias(table.name) for table in tables),
+        # Last sort key of first_per_id; also keeps the filter on id from being
+        # pushed below this step, where it would parse twice.
+        F.monotonically_increasing_id().alias("arrival"),
     ).where("id is not null")
 
 
@@ -87,13 +118,23 @@ def _object_line(value: str) -> Column:
 def table_rows(records: DataFrame, table: RecordTable) -> DataFrame:
     """The rows of one table; a narrow step over records."""
     key = F.col("id").alias(table.id_column)
-    if table.many:
-        return records.select(key, F.explode(table.name).alias("row")).select(
-            table.id_column, "row.*"
-        )
-    return records.where(F.col(table.name).isNotNull()).select(key, f"{table.name}.*")
-
-
-def rows(v: Column, build: Callable[[Column], Column], required: str) -> Column:
-    """One struct per array element, without those lacking ``required``."""
-    return F.filter(F.transform(js.items(v), build), lambda row: row[required].isNotNull())
+    if table.each:
+        records = records.select("id", F.explode(table.each).alias("part"))
+        base = F.col("part")
+    elif table.child:
+        records = records.where(F.col(table.child).isNotNull())
+        base = F.col(table.child)
+    else:
+        base = None
+
+    def get(path: str) -> Column:
+        if base is None:
+            return F.col(path)
+        column = base
+        for step in path.split(".") if path else ():
+            column = column[step]
+        return column
+
+    columns = [column.alias(name) for name, column in table.columns(get).items()]
+    rows = records.select(key, *columns)
+    return rows.where(F.col(table.required).isNotNull()) if table.required else rows

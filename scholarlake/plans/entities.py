@@ -1,17 +1,21 @@
 """Output tables of the five entities.
 
-Each ``_table`` function takes the parsed JSON of a record (a struct of VARIANT
-columns) and returns the columns of that table without the id.
+Each table states what it reads (a shape) and how its columns follow from that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.functions import strict_json as js
+from scholarlake.functions.shape import JSON, NUMBER, TEXT, TRUTH, WHOLE
 from scholarlake.operators.dedup import first_per_id
-from scholarlake.operators.records import RecordTable, parse_records, rows, table_rows
+from scholarlake.operators.records import RecordTable, parse_records, table_rows
+
+Get = Callable[[str], Column]
 
 # What stands for an absent required value.
 NO_NAME = "Unknown"
@@ -23,368 +27,405 @@ NO_COUNT = 0
 PRIMARY = "primary"
 
 
-def _columns(**columns: Column) -> Column:
-    return F.struct(*(column.alias(name) for name, column in columns.items()))
+def _name(value: Column, default: str = NO_NAME) -> Column:
+    return F.coalesce(value, F.lit(default))
 
 
-def _texts_at(v: Column, *names: str) -> dict[str, Column]:
-    return {name: js.text(js.at(v, name)) for name in names}
+def _count(value: Column) -> Column:
+    return F.coalesce(value, F.lit(NO_COUNT).cast("long"))
 
 
-def _name(v: Column, default: str = NO_NAME) -> Column:
-    return F.coalesce(js.text(v), F.lit(default))
+def _as_read(get: Get, *names: str) -> dict[str, Column]:
+    return {name: get(name) for name in names}
 
 
-def _count(v: Column) -> Column:
-    return F.coalesce(js.whole(v), F.lit(NO_COUNT).cast("long"))
+# ---- authors
 
 
-# ---- authors
+def _authors(get: Get) -> dict[str, Column]:
+    return {
+        "orcid": get("orcid"),
+        "display_name": _name(get("display_name")),
+        "display_name_alternatives": get("display_name_alternatives"),
+        "works_count": _count(get("works_count")),
+        "cited_by_count": _count(get("cited_by_count")),
+        "last_known_institution": get("last_known_institution.id"),
+        "works_api_url": get("works_api_url"),
+        "updated_date": get("updated_date"),
+    }
 
 
-def _authors(j: Column) -> Column:
-    return _columns(
-        orcid=js.text(j["orcid"]),
-        display_name=_name(j["display_name"]),
-        display_name_alternatives=js.compact(j["display_name_alternatives"]),
-        works_count=_count(j["works_count"]),
-        cited_by_count=_count(j["cited_by_count"]),
-        last_known_institution=js.text(js.at(j["last_known_institution"], "id")),
-        works_api_url=js.text(j["works_api_url"]),
-        updated_date=js.text(j["updated_date"]),
-    )
+def _authors_ids(get: Get) -> dict[str, Column]:
+    return _as_read(get, "openalex", "orcid", "scopus", "twitter", "wikipedia", "mag")
 
 
-def _authors_ids(j: Column) -> Column:
-    ids = j["ids"]
-    names = ("openalex", "orcid", "scopus", "twitter", "wikipedia", "mag")
-    return F.when(js.present(ids), _columns(**_texts_at(ids, *names)))
+def _authors_counts_by_year(get: Get) -> dict[str, Column]:
+    return {
+        "year": js.wrapped(get("year")),
+        "works_count": _count(get("works_count")),
+        "cited_by_count": _count(get("cited_by_count")),
+        "oa_works_count": _count(get("oa_works_count")),
+    }
 
 
-def _authors_counts_by_year(j: Column) -> Column:
-    return rows(
-        j["counts_by_year"],
-        lambda e: _columns(
-            year=js.whole32(js.at(e, "year")),
-            works_count=_count(js.at(e, "works_count")),
-            cited_by_count=_count(js.at(e, "cited_by_count")),
-            oa_works_count=_count(js.at(e, "oa_works_count")),
-        ),
+AUTHORS = (
+    RecordTable(
+        "authors",
+        "id",
+        {
+            "orcid": TEXT,
+            "display_name": TEXT,
+            "display_name_alternatives": JSON,
+            "works_count": WHOLE,
+            "cited_by_count": WHOLE,
+            "last_known_institution": {"id": TEXT},
+            "works_api_url": TEXT,
+            "updated_date": TEXT,
+        },
+        _authors,
+        rows_per_file=2_000_000,
+    ),
+    RecordTable(
+        "authors_ids",
+        "author_id",
+        {
+            "ids": {
+                "openalex": TEXT,
+                "orcid": TEXT,
+                "scopus": TEXT,
+                "twitter": TEXT,
+                "wikipedia": TEXT,
+                "mag": TEXT,
+            }
+        },
+        _authors_ids,
+        child="ids",
+        rows_per_file=4_000_000,
+    ),
+    RecordTable(
+        "authors_counts_by_year",
+        "author_id",
+        {
+            "counts_by_year": [
+                {
+                    "year": WHOLE,
+                    "works_count": WHOLE,
+                    "cited_by_count": WHOLE,
+                    "oa_works_count": WHOLE,
+                }
+            ]
+        },
+        _authors_counts_by_year,
+        each="counts_by_year",
         required="year",
-    )
+        rows_per_file=20_000_000,
+    ),
+)
 
 
 # ---- institutions
 
 
-def _institutions(j: Column) -> Column:
-    return _columns(
-        ror=js.text(j["ror"]),
-        display_name=_name(j["display_name"]),
-        country_code=js.text(j["country_code"]),
-        type=js.text(j["type"]),
-        homepage_url=js.text(j["homepage_url"]),
-        image_url=js.text(j["image_url"]),
-        image_thumbnail_url=js.text(j["image_thumbnail_url"]),
-        display_name_acronyms=js.compact(j["display_name_acronyms"]),
-        display_name_alternatives=js.compact(j["display_name_alternatives"]),
-        works_count=_count(j["works_count"]),
-        cited_by_count=_count(j["cited_by_count"]),
-        works_api_url=js.text(j["works_api_url"]),
-        updated_date=js.text(j["updated_date"]),
-    )
+def _institutions(get: Get) -> dict[str, Column]:
+    return {
+        "ror": get("ror"),
+        "display_name": _name(get("display_name")),
+        **_as_read(get, "country_code", "type", "homepage_url", "image_url", "image_thumbnail_url"),
+        **_as_read(get, "display_name_acronyms", "display_name_alternatives"),
+        "works_count": _count(get("works_count")),
+        "cited_by_count": _count(get("cited_by_count")),
+        **_as_read(get, "works_api_url", "updated_date"),
+    }
 
 
-def _institutions_geo(j: Column) -> Column:
-    geo = j["geo"]
-    names = ("city", "geonames_city_id", "region", "country_code", "country")
-    return F.when(
-        js.present(geo),
-        _columns(
-            **_texts_at(geo, *names),
-            latitude=js.number(js.at(geo, "latitude")),
-            longitude=js.number(js.at(geo, "longitude")),
-        ),
+def _institutions_geo(get: Get) -> dict[str, Column]:
+    return _as_read(
+        get,
+        "city",
+        "geonames_city_id",
+        "region",
+        "country_code",
+        "country",
+        "latitude",
+        "longitude",
     )
 
 
+INSTITUTIONS = (
+    RecordTable(
+        "institutions",
+        "id",
+        {
+            "ror": TEXT,
+            "display_name": TEXT,
+            "country_code": TEXT,
+            "type": TEXT,
+            "homepage_url": TEXT,
+            "image_url": TEXT,
+            "image_thumbnail_url": TEXT,
+            "display_name_acronyms": JSON,
+            "display_name_alternatives": JSON,
+            "works_count": WHOLE,
+            "cited_by_count": WHOLE,
+            "works_api_url": TEXT,
+            "updated_date": TEXT,
+        },
+        _institutions,
+    ),
+    RecordTable(
+        "institutions_geo",
+        "institution_id",
+        {
+            "geo": {
+                "city": TEXT,
+                "geonames_city_id": TEXT,
+                "region": TEXT,
+                "country_code": TEXT,
+                "country": TEXT,
+                "latitude": NUMBER,
+                "longitude": NUMBER,
+            }
+        },
+        _institutions_geo,
+        child="geo",
+        rows_per_file=4_000_000,
+    ),
+)
+
+
 # ---- publishers
 
 
-def _publishers(j: Column) -> Column:
-    return _columns(
-        display_name=_name(j["display_name"]),
-        alternate_titles=js.compact(j["alternate_titles"]),
-        country_codes=js.compact(j["country_codes"]),
-        hierarchy_level=js.whole32(j["hierarchy_level"]),
-        parent_publisher=js.text(j["parent_publisher"]),
-        works_count=_count(j["works_count"]),
-        cited_by_count=_count(j["cited_by_count"]),
-        sources_api_url=js.text(j["sources_api_url"]),
-        updated_date=js.text(j["updated_date"]),
-    )
+def _publishers(get: Get) -> dict[str, Column]:
+    return {
+        "display_name": _name(get("display_name")),
+        "alternate_titles": get("alternate_titles"),
+        "country_codes": get("country_codes"),
+        "hierarchy_level": js.wrapped(get("hierarchy_level")),
+        "parent_publisher": get("parent_publisher"),
+        "works_count": _count(get("works_count")),
+        "cited_by_count": _count(get("cited_by_count")),
+        "sources_api_url": get("sources_api_url"),
+        "updated_date": get("updated_date"),
+    }
+
+
+PUBLISHERS = (
+    RecordTable(
+        "publishers",
+        "id",
+        {
+            "display_name": TEXT,
+            "alternate_titles": JSON,
+            "country_codes": JSON,
+            "hierarchy_level": WHOLE,
+            "parent_publisher": TEXT,
+            "works_count": WHOLE,
+            "cited_by_count": WHOLE,
+            "sources_api_url": TEXT,
+            "updated_date": TEXT,
+        },
+        _publishers,
+    ),
+)
 
 
 # ---- topics
 
 
-def _topics(j: Column) -> Column:
-    hierarchy = {
-        f"{level}_{part}": _name(js.at(j[level], part))
+def _topics(get: Get) -> dict[str, Column]:
+    levels = {
+        f"{level}_{part}": _name(get(f"{level}.{part}"))
         for level in ("subfield", "field", "domain")
         for part in ("id", "display_name")
     }
-    return _columns(
-        display_name=_name(j["display_name"]),
-        **hierarchy,
-        description=js.text(j["description"]),
-        keywords=js.joined(j["keywords"]),
-        works_api_url=js.text(j["works_api_url"]),
-        wikipedia_id=js.text(js.at(j["ids"], "wikipedia")),
-        works_count=_count(j["works_count"]),
-        cited_by_count=_count(j["cited_by_count"]),
-        updated_date=js.text(j["updated"]),  # topics name this key differently
-        siblings=js.compact(j["siblings"]),
-    )
+    return {
+        "display_name": _name(get("display_name")),
+        **levels,
+        "description": get("description"),
+        "keywords": js.joined(get("keywords")),
+        "works_api_url": get("works_api_url"),
+        "wikipedia_id": get("ids.wikipedia"),
+        "works_count": _count(get("works_count")),
+        "cited_by_count": _count(get("cited_by_count")),
+        "updated_date": get("updated"),  # topics name this key differently
+        "siblings": get("siblings"),
+    }
+
+
+TOPICS = (
+    RecordTable(
+        "topics",
+        "id",
+        {
+            "display_name": TEXT,
+            "subfield": {"id": TEXT, "display_name": TEXT},
+            "field": {"id": TEXT, "display_name": TEXT},
+            "domain": {"id": TEXT, "display_name": TEXT},
+            "description": TEXT,
+            "keywords": [TEXT],
+            "works_api_url": TEXT,
+            "ids": {"wikipedia": TEXT},
+            "works_count": WHOLE,
+            "cited_by_count": WHOLE,
+            "updated": TEXT,
+            "siblings": JSON,
+        },
+        _topics,
+    ),
+)
 
 
 # ---- works
 
 
-def _works(j: Column) -> Column:
-    return _columns(
-        doi=js.text(j["doi"]),
-        title=js.text(j["title"]),
-        display_name=_name(j["display_name"], NO_WORK_NAME),
-        publication_year=js.whole32(j["publication_year"]),
-        publication_date=js.text(j["publication_date"]),
-        type=js.text(j["type"]),
-        cited_by_count=_count(j["cited_by_count"]),
-        is_retracted=F.coalesce(js.truth(j["is_retracted"]), F.lit(False)),
-        is_paratext=js.truth(j["is_paratext"]),
-        cited_by_api_url=js.text(j["cited_by_api_url"]),
-        abstract_inverted_index=js.compact(j["abstract_inverted_index"]),
-        language=js.text(j["language"]),
-    )
+def _works(get: Get) -> dict[str, Column]:
+    return {
+        "doi": get("doi"),
+        "title": get("title"),
+        "display_name": _name(get("display_name"), NO_WORK_NAME),
+        "publication_year": js.wrapped(get("publication_year")),
+        "publication_date": get("publication_date"),
+        "type": get("type"),
+        "cited_by_count": _count(get("cited_by_count")),
+        "is_retracted": F.coalesce(get("is_retracted"), F.lit(False)),
+        "is_paratext": get("is_paratext"),
+        "cited_by_api_url": get("cited_by_api_url"),
+        "abstract_inverted_index": get("abstract_inverted_index"),
+        "language": get("language"),
+    }
 
 
-def _works_locations(j: Column) -> Column:
-    place = j["primary_location"]
-    source_id = js.text(js.at(place, "source.id"))
-    return F.when(
-        source_id.isNotNull(),
-        _columns(
-            source_id=source_id,
-            **_texts_at(place, "landing_page_url", "pdf_url"),
-            is_oa=js.truth(js.at(place, "is_oa")),
-            **_texts_at(place, "version", "license"),
-            location_type=F.lit(PRIMARY),
-        ),
-    )
+def _works_locations(get: Get) -> dict[str, Column]:
+    return {
+        "source_id": get("source.id"),
+        **_as_read(get, "landing_page_url", "pdf_url", "is_oa", "version", "license"),
+        "location_type": F.lit(PRIMARY),
+    }
 
 
-def _works_authorships(j: Column) -> Column:
+def _works_authorships(get: Get) -> dict[str, Column]:
     """One row per author of a work; of several institutions the first counts."""
-    return rows(
-        j["authorships"],
-        lambda e: _columns(
-            author_position=_name(js.at(e, "author_position"), NO_POSITION),
-            author_id=js.text(js.at(e, "author.id")),
-            institution_id=js.first_text(js.at(e, "institutions"), "id"),
-            raw_affiliation_string=js.text(js.at(e, "raw_affiliation_string")),
-        ),
-        required="author_id",
-    )
+    return {
+        "author_position": _name(get("author_position"), NO_POSITION),
+        "author_id": get("author.id"),
+        "institution_id": js.first(get("institutions.id")),
+        "raw_affiliation_string": get("raw_affiliation_string"),
+    }
 
 
-def _works_topics(j: Column) -> Column:
-    return rows(
-        j["topics"],
-        lambda e: _columns(
-            topic_id=js.text(js.at(e, "id")),
-            score=js.number(js.at(e, "score")),
-        ),
-        required="topic_id",
-    )
+def _works_topics(get: Get) -> dict[str, Column]:
+    return {"topic_id": get("id"), "score": get("score")}
 
 
-def _works_open_access(j: Column) -> Column:
-    access = j["open_access"]
-    return F.when(
-        js.present(access),
-        _columns(
-            is_oa=js.truth(js.at(access, "is_oa")),
-            **_texts_at(access, "oa_status", "oa_url"),
-            any_repository_has_fulltext=js.truth(js.at(access, "any_repository_has_fulltext")),
-        ),
-    )
+def _works_open_access(get: Get) -> dict[str, Column]:
+    return _as_read(get, "is_oa", "oa_status", "oa_url", "any_repository_has_fulltext")
 
 
-def _works_citations(j: Column) -> Column:
+def _works_citations(get: Get) -> dict[str, Column]:
     """The edges of the citation graph."""
-    return F.transform(
-        js.texts(j["referenced_works"]), lambda e: _columns(referenced_work_id=e)
-    )
-
-
-# Entity -> its tables; the first one has one row per record.  rows_per_file
-# follows the width of a row, for output files of about 100 to 200 MB.
-ENTITIES: dict[str, tuple[RecordTable, ...]] = {
-    "authors": (
-        RecordTable(
-            "authors",
-            "id",
-            (
-                "orcid",
-                "display_name",
-                "display_name_alternatives",
-                "works_count",
-                "cited_by_count",
-                "last_known_institution",
-                "works_api_url",
-                "updated_date",
-            ),
-            _authors,
-            rows_per_file=2_000_000,
-        ),
-        RecordTable("authors_ids", "author_id", ("ids",), _authors_ids, rows_per_file=4_000_000),
-        RecordTable(
-            "authors_counts_by_year",
-            "author_id",
-            ("counts_by_year",),
-            _authors_counts_by_year,
-            many=True,
-            rows_per_file=20_000_000,
-        ),
+    return {"referenced_work_id": get("")}
+
+
+WORKS = (
+    RecordTable(
+        "works",
+        "id",
+        {
+            "doi": TEXT,
+            "title": TEXT,
+            "display_name": TEXT,
+            "publication_year": WHOLE,
+            "publication_date": TEXT,
+            "type": TEXT,
+            "cited_by_count": WHOLE,
+            "is_retracted": TRUTH,
+            "is_paratext": TRUTH,
+            "cited_by_api_url": TEXT,
+            "abstract_inverted_index": JSON,
+            "language": TEXT,
+        },
+        _works,
+        rows_per_file=200_000,
     ),
-    "institutions": (
-        RecordTable(
-            "institutions",
-            "id",
-            (
-                "ror",
-                "display_name",
-                "country_code",
-                "type",
-                "homepage_url",
-                "image_url",
-                "image_thumbnail_url",
-                "display_name_acronyms",
-                "display_name_alternatives",
-                "works_count",
-                "cited_by_count",
-                "works_api_url",
-                "updated_date",
-            ),
-            _institutions,
-        ),
-        RecordTable(
-            "institutions_geo",
-            "institution_id",
-            ("geo",),
-            _institutions_geo,
-            rows_per_file=4_000_000,
-        ),
+    RecordTable(
+        "works_locations",
+        "work_id",
+        {
+            "primary_location": {
+                "source": {"id": TEXT},
+                "landing_page_url": TEXT,
+                "pdf_url": TEXT,
+                "is_oa": TRUTH,
+                "version": TEXT,
+                "license": TEXT,
+            }
+        },
+        _works_locations,
+        child="primary_location",
+        required="source_id",
+        rows_per_file=2_000_000,
     ),
-    "publishers": (
-        RecordTable(
-            "publishers",
-            "id",
-            (
-                "display_name",
-                "alternate_titles",
-                "country_codes",
-                "hierarchy_level",
-                "parent_publisher",
-                "works_count",
-                "cited_by_count",
-                "sources_api_url",
-                "updated_date",
-            ),
-            _publishers,
-        ),
+    RecordTable(
+        "works_authorships",
+        "work_id",
+        {
+            "authorships": [
+                {
+                    "author_position": TEXT,
+                    "author": {"id": TEXT},
+                    "institutions": [{"id": TEXT}],
+                    "raw_affiliation_string": TEXT,
+                }
+            ]
+        },
+        _works_authorships,
+        each="authorships",
+        required="author_id",
+        rows_per_file=4_000_000,
+    ),
+    RecordTable(
+        "works_topics",
+        "work_id",
+        {"topics": [{"id": TEXT, "score": NUMBER}]},
+        _works_topics,
+        each="topics",
+        required="topic_id",
+        rows_per_file=8_000_000,
     ),
-    "topics": (
-        RecordTable(
-            "topics",
-            "id",
-            (
-                "display_name",
-                "subfield",
-                "field",
-                "domain",
-                "description",
-                "keywords",
-                "works_api_url",
-                "ids",
-                "works_count",
-                "cited_by_count",
-                "updated",
-                "siblings",
-            ),
-            _topics,
-        ),
+    RecordTable(
+        "works_open_access",
+        "work_id",
+        {
+            "open_access": {
+                "is_oa": TRUTH,
+                "oa_status": TEXT,
+                "oa_url": TEXT,
+                "any_repository_has_fulltext": TRUTH,
+            }
+        },
+        _works_open_access,
+        child="open_access",
+        rows_per_file=4_000_000,
     ),
-    "works": (
-        RecordTable(
-            "works",
-            "id",
-            (
-                "doi",
-                "title",
-                "display_name",
-                "publication_year",
-                "publication_date",
-                "type",
-                "cited_by_count",
-                "is_retracted",
-                "is_paratext",
-                "cited_by_api_url",
-                "abstract_inverted_index",
-                "language",
-            ),
-            _works,
-            rows_per_file=200_000,
-        ),
-        RecordTable(
-            "works_locations",
-            "work_id",
-            ("primary_location",),
-            _works_locations,
-            rows_per_file=2_000_000,
-        ),
-        RecordTable(
-            "works_authorships",
-            "work_id",
-            ("authorships",),
-            _works_authorships,
-            many=True,
-            rows_per_file=4_000_000,
-        ),
-        RecordTable(
-            "works_topics",
-            "work_id",
-            ("topics",),
-            _works_topics,
-            many=True,
-            rows_per_file=8_000_000,
-        ),
-        RecordTable(
-            "works_open_access",
-            "work_id",
-            ("open_access",),
-            _works_open_access,
-            rows_per_file=4_000_000,
-        ),
-        RecordTable(
-            "works_citations",
-            "work_id",
-            ("referenced_works",),
-            _works_citations,
-            many=True,
-            rows_per_file=10_000_000,
-        ),
+    RecordTable(
+        "works_citations",
+        "work_id",
+        {"referenced_works": [TEXT]},
+        _works_citations,
+        each="referenced_works",
+        required="referenced_work_id",
+        rows_per_file=10_000_000,
     ),
+)
+
+# The first table of an entity has one row per record.
+ENTITIES: dict[str, tuple[RecordTable, ...]] = {
+    "authors": AUTHORS,
+    "institutions": INSTITUTIONS,
+    "publishers": PUBLISHERS,
+    "topics": TOPICS,
+    "works": WORKS,
 }
 
 TABLES: dict[str, RecordTable] = {t.name: t for tables in ENTITIES.values() for t in tables}

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scholarlake.operators import dedup
@@ -125,14 +125,14 @@ def _staged(
     """Records stored once; also how many rows each table has at most."""
     spark = lines.sparkSession
     sizes = [
-        F.sum(F.size(t.name) if t.many else F.col(t.name).isNotNull().cast("long")).alias(t.name)
+        F.sum(_row_bound(t)).alias(t.name)
         for t in tables
     ]
     counted = Observation()
     parse_records(lines, tables).withColumn("rank", dedup.rank()).drop(
         "file_no", "line_no", "arrival"
     ).observe(counted, *sizes).write.parquet(f"{path}/records")
-    most = {name: n or 0 for name, n in counted.get.items()}
+    most = {name: max(0, n or 0) for name, n in counted.get.items()}
 
     staged = spark.read.parquet(f"{path}/records")
     dedup.duplicated_ids(staged).write.parquet(f"{path}/duplicated")
@@ -140,6 +140,13 @@ def _staged(
     return dedup.keep_first(staged, duplicated, f"{path}/winners", broadcast_bytes), most
 
 
+def _row_bound(table: RecordTable) -> Column:
+    """How many rows of a table one record gives, at most."""
+    if table.each:
+        return F.size(table.each).cast("long")
+    return (F.col(table.child).isNotNull() if table.child else F.lit(True)).cast("long")
+
+
 def _file_count(rows: int | None, table: RecordTable) -> int | None:
     return None if rows is None else max(1, -(-rows // table.rows_per_file))
 

@@ -233,9 +233,18 @@ WORK_COLUMNS = (
 )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out rows of a small input with few splits; each becomes a long line."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 def work_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with k, n, p, s, d and their place: ship date, then line_no."""
-    return read(spark, sf_dir, "lineitem", *WORK_COLUMNS).selectExpr(
+    """Line items with k, n, p, s, d and their place: ship date, then line_no.
+
+    ``odd`` marks the records, one in eight, that have values of unexpected types.
+    """
+    return spread(read(spark, sf_dir, "lineitem", *WORK_COLUMNS)).selectExpr(
         "l_orderkey as k",
         "l_linenumber as n",
         "l_partkey as p",
@@ -244,22 +253,28 @@ def work_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(l_shipdate as date) as shipped",
         "(l_partkey * 10000000 + l_suppkey) * 100 + cast(round(l_discount * 100) as bigint)"
         " as line_no",
+        "l_orderkey % 8 = 7 as odd",
     )
 
 
 def work_value() -> Column:
     """The JSON line of a row of ``work_rows``."""
+
+    def odd(unexpected: Column, usual: Column) -> Column:
+        return F.when(F.col("odd"), unexpected).otherwise(usual)
+
     location = F.concat(
         fill('{"source":{"id":"S%s"},"landing_page_url":"http://l/%s",', "s", "p"),
         pick("p % 3", F.lit(""), fill('"pdf_url":"http://f/%s",', "k")),
-        F.lit('"is_oa":'), pick("p % 2", F.lit("true"), F.lit("1")),
+        F.lit('"is_oa":'), pick("p % 2", F.lit("true"), odd(F.lit("1"), F.lit("null"))),
         fill(',"version":"v%s","license":', "n"), pick("n % 2", F.lit("null"), F.lit('"by"')),
         F.lit("}"),
     )
     access = F.concat(
         F.lit('{"is_oa":'), pick("p % 2", F.lit("true"), F.lit("false")),
-        F.lit(',"oa_status":"gold","oa_url":'), pick("p % 4", F.lit("7"), fill('"http://o/%s"', "p")),
-        F.lit(',"any_repository_has_fulltext":'), pick("s % 2", F.lit("true"), F.lit('"yes"')),
+        F.lit(',"oa_status":"gold","oa_url":'), odd(F.lit("7"), fill('"http://o/%s"', "p")),
+        F.lit(',"any_repository_has_fulltext":'),
+        pick("s % 2", F.lit("true"), odd(F.lit('"yes"'), F.lit("null"))),
         F.lit("}"),
     )
     first_author = F.concat(
@@ -270,36 +285,43 @@ def work_value() -> Column:
             "n % 4",
             F.lit("[]"),
             F.lit("null"),
-            fill('[{"id":null},7,{"id":5},{"id":"I%s"},{"id":"I99"}]', "s % 25"),
+            odd(
+                fill('[{"id":null},7,{"id":5},{"id":"I%s"},{"id":"I99"}]', "s % 25"),
+                fill('[{"id":null},{},{"id":"I%s","ror":"x"},{"id":"I99"}]', "s % 25"),
+            ),
         ),
         F.lit("}"),
     )
     second_author = fill(
         '{"author":{"id":"A%s"},"author_position":"last","raw_affiliation_string":"R%s"}', "p", "n"
     )
-    year = "year(shipped)"
+    year, p = fill("%s", "year(shipped)"), fill("%s", "p")
     pairs = (
         pair("doi", pick("n % 3", None, F.lit("null"), fill('"10.1/%s"', "k"))),
-        pair("title", pick("p % 2", fill('"Title %s"', "p"), fill("%s", "p"))),
+        pair("title", odd(p, fill('"Title %s"', "p"))),
         pair(
             "publication_year",
             pick(
-                "k % 3", fill("%s", year), fill("%s", f"{year} + 4294967296"), fill("%s.0", year)
+                "k % 3",
+                year,
+                fill("%s", "year(shipped) + 4294967296"),
+                odd(fill("%s.0", "year(shipped)"), year),
             ),
         ),
         pair("publication_date", fill('"%s"', "shipped")),
         pair("type", fill('"type%s"', "n")),
         pair(
             "cited_by_count",
-            pick(
-                "p % 9",
-                *[fill("%s", "p")] * 4,
-                F.lit("3.0"), F.lit('"7"'), F.lit("9223372036854775808"), fill("-%s", "p"),
-                fill("%s", "p"),
+            odd(
+                pick(
+                    "p % 4",
+                    F.lit("3.0"), F.lit('"7"'), F.lit("9223372036854775808"), fill("-%s", "p"),
+                ),
+                p,
             ),
         ),
-        pair("is_retracted", pick("k % 4", F.lit("true"), F.lit('"true"'), F.lit("null"), None)),
-        pair("is_paratext", pick("k % 4", F.lit("false"), F.lit("true"), F.lit("1"), None)),
+        pair("is_retracted", pick("k % 4", F.lit("true"), F.lit("null"), None, odd(F.lit('"true"'), None))),
+        pair("is_paratext", pick("k % 4", F.lit("false"), F.lit("true"), None, odd(F.lit("1"), None))),
         pair("cited_by_api_url", pick("k % 5", None, fill('"http://c/%s"', "k"))),
         pair(
             "abstract_inverted_index",
@@ -308,41 +330,49 @@ def work_value() -> Column:
                 fill('{"zeta":[0],"Alpha":[0, 2],"zeta":[ %s ]}', "p"),
             ),
         ),
-        pair("language", pick("n", None, F.lit('["en"]'), F.lit('"en"'))),
+        pair("language", odd(F.lit('["en"]'), F.lit('"en"'))),
         pair(
             "primary_location",
             pick(
-                "k % 6", F.lit("null"), F.lit('{"source":null}'), F.lit('{"source":{"id":5}}'),
+                "k % 6", F.lit("null"), F.lit('{"source":null}'),
+                odd(F.lit('{"source":{"id":5}}'), F.lit('{"source":{}}')),
                 location,
             ),
         ),
-        pair("open_access", pick("k % 5", None, F.lit("null"), F.lit("[1]"), access)),
+        pair(
+            "open_access",
+            pick("k % 9", None, F.lit("null"), odd(F.lit("[1]"), F.lit("{}")), access),
+        ),
         pair(
             "authorships",
             F.concat(
-                F.lit("["), first_author, F.lit(',{"author":{}},"x",{"author":{"id":7}},'),
+                F.lit("["), first_author,
+                odd(F.lit(',{"author":{}},"x",{"author":{"id":7}},'), F.lit(',{"author":{}},null,')),
                 second_author, F.lit("]"),
             ),
         ),
         pair(
             "topics",
-            fill(
-                '[{"id":1},"x",{"id":"T%s","score":%s},{"id":"T%s","score":"0.5"},'
-                '{"id":"T%s","score":%s}]',
-                "s", "d", "p", "s", "n",
+            F.concat(
+                odd(
+                    fill('[{"id":1},"x",{"id":"T%s","score":"0.5"},', "s"),
+                    fill('[{"score":1},{"id":"T%s"},', "s"),
+                ),
+                fill('{"id":"T%s","score":%s},{"id":"T%s","score":%s}]', "p", "d", "s", "n"),
             ),
         ),
-        # Odd parts give lists of strings only, even ones mixed lists.
         pair(
             "referenced_works",
-            pick(
-                "p % 2",
+            odd(
                 fill('[7,null,"W%s","W%s",{"a":1},"W%s"]', "p", "p", "s"),
                 fill('["W%s",null,"W%s","W%s"]', "p", "p", "s"),
             ),
         ),
     )
-    name = pair("display_name", pick("p % 7", fill('"Work %s"', "k"), None, F.lit("42"), fill('"Work %s"', "k")))
+    name = pair(
+        "display_name",
+        pick("p % 7", fill('"Work %s"', "k"), None, odd(F.lit("42"), F.lit("null")), fill('"Work %s"', "k")),
+    )
     return record(fill("W%s-%s", "k", "n"), name, *pairs)
 
 

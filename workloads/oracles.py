@@ -6,7 +6,7 @@ from __future__ import annotations
 WORKS = """
 WITH copies AS (
   SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p, l_suppkey AS s, l_discount AS d,
-         CAST(l_shipdate AS DATE) AS shipped,
+         CAST(l_shipdate AS DATE) AS shipped, l_orderkey % 8 = 7 AS odd,
          row_number() OVER (
            PARTITION BY l_orderkey, l_linenumber
            ORDER BY CAST(l_shipdate AS DATE),
@@ -46,27 +46,27 @@ FROM customer WHERE c_custkey % 5 <> 0
 ORACLES: dict[str, str] = {
     "works_citations": WORKS_CITATIONS,
     "works_topics": WORKS + """
-SELECT id AS work_id, 'T' || s AS topic_id, CAST(d AS DOUBLE) AS score FROM w
-UNION ALL SELECT id, 'T' || p, NULL FROM w
+SELECT id AS work_id, 'T' || s AS topic_id, CAST(NULL AS DOUBLE) AS score FROM w
+UNION ALL SELECT id, 'T' || p, d FROM w
 UNION ALL SELECT id, 'T' || s, CAST(n AS DOUBLE) FROM w
 """,
     "works_authorships": WORKS_AUTHORSHIPS,
     "works_parent": WORKS + """
 SELECT id,
        CASE WHEN n % 3 = 2 THEN '10.1/' || k END AS doi,
-       CASE WHEN p % 2 = 0 THEN 'Title ' || p END AS title,
+       CASE WHEN NOT odd THEN 'Title ' || p END AS title,
        CASE WHEN p % 7 IN (1, 2) THEN '' ELSE 'Work ' || k END AS display_name,
-       CAST(CASE WHEN k % 3 < 2 THEN year(shipped) END AS INTEGER) AS publication_year,
+       CAST(CASE WHEN k % 3 < 2 OR NOT odd THEN year(shipped) END AS INTEGER) AS publication_year,
        CAST(shipped AS VARCHAR) AS publication_date,
        'type' || n AS type,
-       CAST(CASE WHEN p % 9 IN (4, 5, 6) THEN 0 WHEN p % 9 = 7 THEN -p ELSE p END AS BIGINT)
+       CAST(CASE WHEN NOT odd THEN p WHEN p % 4 = 3 THEN -p ELSE 0 END AS BIGINT)
          AS cited_by_count,
        k % 4 = 0 AS is_retracted,
        CASE k % 4 WHEN 0 THEN false WHEN 1 THEN true END AS is_paratext,
        CASE WHEN k % 5 <> 0 THEN 'http://c/' || k END AS cited_by_api_url,
        CASE p % 4 WHEN 0 THEN NULL WHEN 1 THEN 'null'
             ELSE '{"Alpha":[0,2],"zeta":[' || p || ']}' END AS abstract_inverted_index,
-       CASE WHEN n > 1 THEN 'en' END AS language
+       CASE WHEN NOT odd THEN 'en' END AS language
 FROM w
 """,
     "works_locations": WORKS + """
@@ -80,11 +80,11 @@ FROM w WHERE k % 6 >= 3
 """,
     "works_open_access": WORKS + """
 SELECT id AS work_id,
-       CASE WHEN k % 5 >= 3 THEN p % 2 = 0 END AS is_oa,
-       CASE WHEN k % 5 >= 3 THEN 'gold' END AS oa_status,
-       CASE WHEN k % 5 >= 3 AND p % 4 <> 0 THEN 'http://o/' || p END AS oa_url,
-       CASE WHEN k % 5 >= 3 AND s % 2 = 0 THEN true END AS any_repository_has_fulltext
-FROM w WHERE k % 5 <> 0
+       CASE WHEN k % 9 >= 3 THEN p % 2 = 0 END AS is_oa,
+       CASE WHEN k % 9 >= 3 THEN 'gold' END AS oa_status,
+       CASE WHEN k % 9 >= 3 AND NOT odd THEN 'http://o/' || p END AS oa_url,
+       CASE WHEN k % 9 >= 3 AND s % 2 = 0 THEN true END AS any_repository_has_fulltext
+FROM w WHERE k % 9 <> 0
 """,
     "authors_parent": f"""
 WITH a AS (
@@ -256,7 +256,7 @@ c AS (
   UNION ALL SELECT 'works_locations', count(*) FROM w WHERE k % 6 >= 3
   UNION ALL SELECT 'works_authorships', 2 * count(*) FROM w
   UNION ALL SELECT 'works_topics', 3 * count(*) FROM w
-  UNION ALL SELECT 'works_open_access', count(*) FROM w WHERE k % 5 <> 0
+  UNION ALL SELECT 'works_open_access', count(*) FROM w WHERE k % 9 <> 0
   UNION ALL SELECT 'works_citations', 3 * count(*) FROM w)
 SELECT table_name, n, n AS reported FROM c
 """,

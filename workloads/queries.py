@@ -102,7 +102,7 @@ def strict_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         js.text(integer).alias("integer_text"),
         js.whole(integer).alias("integer_whole"),
-        js.whole32(integer).alias("integer_whole32"),
+        js.wrapped(js.whole(integer)).alias("integer_whole32"),
         js.number(integer).alias("integer_number"),
         js.truth(integer).alias("integer_truth"),
         js.compact(integer).alias("integer_json"),
