@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import gzip
+import json
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+for folder in (ROOT, os.path.join(ROOT, "tests")):
+    if folder not in sys.path:
+        sys.path.insert(0, folder)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    import scholarlake
+
+    yield scholarlake.configure(session)
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def lines(spark):
+    """JSON texts (or values) as lines of one file."""
+
+    def make(*values, file_no=0):
+        rows = [
+            (file_no, n, v if isinstance(v, str) else json.dumps(v)) for n, v in enumerate(values)
+        ]
+        return spark.createDataFrame(rows, "file_no long, line_no long, value string")
+
+    return make
+
+
+@pytest.fixture
+def snapshot(tmp_path):
+    """Writes part files; returns the snapshot directory."""
+
+    class Snapshot:
+        root = str(tmp_path / "in")
+        out = str(tmp_path / "out")
+
+        def add(self, entity, date, name, *records, newline="\n"):
+            folder = tmp_path / "in" / entity / f"updated_date={date}"
+            folder.mkdir(parents=True, exist_ok=True)
+            texts = [r if isinstance(r, str) else json.dumps(r) for r in records]
+            with gzip.open(folder / name, "wb") as f:
+                f.write("".join(t + newline for t in texts).encode())
+            return folder / name
+
+        def empty_file(self, entity, date, name):
+            folder = tmp_path / "in" / entity / f"updated_date={date}"
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / name).write_bytes(b"")
+
+    return Snapshot()

@@ -1,0 +1,103 @@
+"""Each reader on values of every JSON type."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from scholarlake.functions import strict_json as js
+
+# JSON text -> text, whole, wrapped, number, truth, compact
+CASES = {
+    '"a"': ("a", None, None, None, None, '"a"'),
+    '""': ("", None, None, None, None, '""'),
+    '"5"': ("5", None, None, None, None, '"5"'),
+    '"true"': ("true", None, None, None, None, '"true"'),
+    '"NaN"': ("NaN", None, None, None, None, '"NaN"'),
+    "5": (None, 5, 5, 5.0, None, "5"),
+    "-7": (None, -7, -7, -7.0, None, "-7"),
+    "5.0": (None, None, None, 5.0, None, "5"),
+    "5e0": (None, None, None, 5.0, None, None),
+    "0.07": (None, None, None, 0.07, None, "0.07"),
+    "4294967297": (None, 4294967297, 1, 4294967297.0, None, "4294967297"),
+    "2147483648": (None, 2147483648, -2147483648, 2147483648.0, None, "2147483648"),
+    "9223372036854775807": (
+        None, 2**63 - 1, -1, float(2**63 - 1), None, "9223372036854775807",
+    ),
+    "9223372036854775808": (None, None, None, float(2**63), None, "9223372036854775808"),
+    "true": (None, None, None, None, True, "true"),
+    "false": (None, None, None, None, False, "false"),
+    "null": (None, None, None, None, None, "null"),
+    "[]": (None, None, None, None, None, "[]"),
+    '[ "b", "a" ]': (None, None, None, None, None, '["b","a"]'),
+    "{}": (None, None, None, None, None, "{}"),
+    '{"b": 1, "a": {"d":[null], "c":"é"}}': (
+        None, None, None, None, None, '{"a":{"c":"é","d":[null]},"b":1}',
+    ),
+    '{"a":1,"a":2}': (None, None, None, None, None, '{"a":2}'),
+}
+
+
+@pytest.fixture(scope="module")
+def read(spark):
+    rows = [(text, f'{{"v":{text}}}') for text in CASES] + [("missing", "{}")]
+    v = js.at(F.col("json"), "v")
+    return {
+        row["case"]: row
+        for row in spark.createDataFrame(rows, "case string, line string")
+        .withColumn("json", F.parse_json("line"))
+        .select(
+            "case",
+            js.text(v).alias("text"),
+            js.whole(v).alias("whole"),
+            js.wrapped(js.whole(v)).alias("wrapped"),
+            js.number(v).alias("number"),
+            js.truth(v).alias("truth"),
+            js.compact(v).alias("compact"),
+            js.present(v).alias("present"),
+        )
+        .collect()
+    }
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_scalar(read, case):
+    row = read[case]
+    text, whole, wrapped, number, truth, compact = CASES[case]
+    assert (row.text, row.whole, row.wrapped, row.number, row.truth) == (
+        text, whole, wrapped, number, truth,
+    )
+    if compact is not None:
+        assert row.compact == compact
+    assert row.present
+
+
+def test_missing(read):
+    row = read["missing"]
+    assert [row[c] for c in ("text", "whole", "number", "truth", "compact")] == [None] * 5
+    assert not row.present
+
+
+@pytest.mark.parametrize(
+    ("value", "expected"),
+    [
+        ('["a","b"]', "a; b"),
+        ('["a",7,null,"b",{"x":"y"}]', "a; b"),
+        ("[]", ""),
+        ("[1]", ""),
+        ('"a"', None),
+        ("null", None),
+        ('{"a":"b"}', None),
+    ],
+)
+def test_joined(spark, value, expected):
+    df = spark.createDataFrame([(value,)], "v string").select(
+        js.joined(js.texts(F.parse_json("v"))).alias("j")
+    )
+    assert df.first().j == expected
+
+
+def test_deref_through_non_objects_is_null(spark):
+    rows = [("1",), ("null",), ('"a"',), ('["a"]',), ("{}",), ('{"a":null}',), ('{"a":{"b":"x"}}',)]
+    df = spark.createDataFrame(rows, "v string").select(
+        js.text(js.at(F.parse_json("v"), "a.b")).alias("t")
+    )
+    assert [r.t for r in df.collect()] == [None] * 6 + ["x"]
