@@ -1,0 +1,100 @@
+"""Finding and reading files."""
+
+import gzip
+import os
+
+from scholarlake import entity_table, list_files, read_lines
+
+
+def names(files):
+    return ["/".join(f.path.split("/")[-2:]) for f in files]
+
+
+def ids(spark, files, **options):
+    df = entity_table(read_lines(spark, files, **options), "authors")
+    return {r.id: r.display_name for r in df.collect()}
+
+
+def test_selection_and_order(spark, snapshot):
+    snapshot.add("authors", "2024-01-02", "part_000.gz", {"id": "a"})
+    snapshot.add("authors", "2024-01-01", "part_010.gz", {"id": "b"})
+    snapshot.add("authors", "2024-01-01", "part_002.gz", {"id": "c"})
+    snapshot.empty_file("authors", "2024-01-01", "part_000.gz")
+    snapshot.add("authors", "2024-01-01", "other.gz", {"id": "d"})
+    snapshot.add("authors", "2024-01-01", "part_003.txt", {"id": "e"})
+    snapshot.add("works", "2024-01-01", "part_000.gz", {"id": "f"})
+    files = list_files(spark, snapshot.root, "authors")
+    assert names(files) == [
+        "updated_date=2024-01-01/part_002.gz",
+        "updated_date=2024-01-01/part_010.gz",
+        "updated_date=2024-01-02/part_000.gz",
+    ]
+    assert all(f.size > 0 for f in files)
+    assert ids(spark, files).keys() == {"a", "b", "c"}
+    # Empty files do not count for the limit.
+    assert names(list_files(spark, snapshot.root, "authors", 2)) == names(files)[:2]
+    assert list_files(spark, snapshot.root, "authors", 99) == files
+
+
+def test_paths_sort_by_components(spark, snapshot):
+    snapshot.add("authors", "2024-1", "part_0.gz", {"id": "a", "display_name": "later"})
+    snapshot.add("authors", "2024", "part_0.gz", {"id": "a", "display_name": "first"})
+    files = list_files(spark, snapshot.root + "/", "authors")
+    assert names(files) == ["updated_date=2024/part_0.gz", "updated_date=2024-1/part_0.gz"]
+    assert ids(spark, files) == {"a": "first"}
+
+
+def test_unusual_path_names(spark, snapshot):
+    snapshot.add("authors", "2024 01%2é+x", "part_0 1.gz", {"id": "a"})
+    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a"}
+
+
+def test_nothing_to_read(spark, snapshot):
+    assert list_files(spark, snapshot.root, "authors") == []
+    snapshot.empty_file("authors", "2024-01-01", "part_000.gz")
+    assert list_files(spark, snapshot.root, "authors") == []
+    assert ids(spark, []) == {}
+
+
+def test_line_ends(spark, snapshot):
+    snapshot.add("authors", "2024", "part_0.gz", {"id": "a"}, "", "  ", {"id": "b"}, newline="\r\n")
+    # A lone carriage return is white space inside a record, not a line end.
+    snapshot.add("authors", "2024", "part_1.gz", '{"id":\r"c",\r"display_name":"n"}')
+    with gzip.open(f"{snapshot.root}/authors/updated_date=2024/part_2.gz", "wb") as f:
+        f.write(b'{"id":"d"}')  # no line end at all
+    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a", "b", "c", "d"}
+
+
+def test_several_gzip_members(spark, snapshot):
+    path = snapshot.add("authors", "2024", "part_0.gz", {"id": "a"})
+    with open(path, "ab") as f:
+        f.write(gzip.compress(b'{"id":"b"}\n'))
+    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a", "b"}
+
+
+def test_first_line_wins_within_and_across_files(spark, snapshot):
+    records = [{"id": f"{n % 50}", "display_name": f"early {n}"} for n in range(500)]
+    snapshot.add("authors", "2024-01-01", "part_1.gz", *records)
+    later = [{"id": f"{n}", "display_name": "late"} for n in range(60)]
+    snapshot.add("authors", "2024-01-02", "part_0.gz", *later)
+    files = list_files(spark, snapshot.root, "authors")
+    want = {f"{n}": f"early {n}" if n < 50 else "late" for n in range(60)}
+    assert ids(spark, files) == want
+    # The same when files count as large and their lines are dealt out.
+    assert ids(spark, files, large=0) == want
+    assert ids(spark, files, large=files[1].size) == want
+
+
+def test_file_number_and_line_order(spark, snapshot):
+    for n in range(5):
+        snapshot.add("authors", f"2024-0{n}", "part_0.gz", *({"id": f"{n}-{i:04}"} for i in range(300)))
+    lines = read_lines(spark, list_files(spark, snapshot.root, "authors"))
+    values = [r.value for r in lines.orderBy("file_no", "line_no").collect()]
+    assert values == sorted(values) and len(values) == 1500
+    assert lines.columns == ["file_no", "line_no", "value"]
+
+
+def test_only_names_and_sizes_are_listed(spark, snapshot):
+    path = snapshot.add("authors", "2024", "part_0.gz", {"id": "a"})
+    files = list_files(spark, snapshot.root, "authors")
+    assert files[0].size == os.path.getsize(path)
