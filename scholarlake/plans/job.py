@@ -109,10 +109,10 @@ def run(
             path = table_path(output_dir, table.name)
             report.rows[table.name] = write_table(table_rows(records, table), path, files_out)
 
-        _together(write, tables)
+        _together(spark, write, tables)
         report.files[entity] = len(files)
 
-    _together(convert, known)
+    _together(spark, convert, known)
     _remove(spark, stage)
     # Threads finish in any order.
     report.files = {name: report.files[name] for name in known}
@@ -151,13 +151,14 @@ def _file_count(rows: int | None, table: RecordTable) -> int | None:
     return None if rows is None else max(1, -(-rows // table.rows_per_file))
 
 
-def _together(task: Callable[[T], None], over: Sequence[T]) -> None:
+def _together(spark: SparkSession, task: Callable[[T], None], over: Sequence[T]) -> None:
     """Submit Spark jobs side by side; the first failure is raised when all are done."""
     if not over:
         return
     with ThreadPoolExecutor(len(over)) as pool:
-        for future in [pool.submit(inheritable_thread_target(task), item) for item in over]:
-            future.result()
+        submitted = [pool.submit(inheritable_thread_target(spark)(task), item) for item in over]
+    for future in submitted:
+        future.result()
 
 
 def _remove(spark: SparkSession, path: str) -> None:
