@@ -63,8 +63,12 @@ class RunReport:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Session settings the parser relies on: of a repeated key the last value counts."""
+    """Session settings for the parser."""
+    # Of a repeated key the last value counts.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # Records have many columns: a whole stage in one method grows beyond what
+    # the JVM compiles (8000 bytes) and would run interpreted.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

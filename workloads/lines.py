@@ -73,21 +73,25 @@ def snapshot(rows: DataFrame, id: Column, name: Column, *pairs: Column) -> DataF
     without a usable id, blank lines and lines that are no objects are mixed in.
     """
     def line(file_no: int, value: Column) -> Column:
-        return F.struct(F.lit(file_no).alias("file_no"), value.alias("value"))
-
-    later = record(id, pair("display_name", F.lit('"DUP"')), *pairs)
+        return F.struct(F.lit(file_no).cast("long").alias("file_no"), value.alias("value"))
+
+    # The texts are made in a step of their own: inside the generator they would
+    # not be compiled.
+    texts = rows.select(
+        "k",
+        record(id, name, *pairs).alias("first"),
+        F.when(
+            F.expr("k % 10 = 0"), record(id, pair("display_name", F.lit('"DUP"')), *pairs)
+        ).alias("later"),
+    )
     lines = F.array(
-        line(FIRST_FILE, record(id, name, *pairs)),
-        F.when(F.expr("k % 10 = 0"), line(LATER_FILE, later)),
+        line(FIRST_FILE, F.col("first")),
+        F.when(F.col("later").isNotNull(), line(LATER_FILE, F.col("later"))),
         F.when(F.expr("k % 13 = 5"), line(FIRST_FILE, fill('{"id":%s}', "k"))),
         F.when(F.expr("k % 11 = 3"), line(FIRST_FILE, F.lit("  \t"))),
         F.when(F.expr("k % 17 = 6"), line(FIRST_FILE, fill('[%s,"x"]', "k"))),
     )
-    return rows.select("k", F.explode(F.array_compact(lines)).alias("line")).select(
-        F.col("line.file_no").cast("long").alias("file_no"),
-        F.col("k").alias("line_no"),
-        "line.value",
-    )
+    return texts.select(F.col("k").alias("line_no"), F.inline(F.array_compact(lines)))
 
 
 def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,17 +382,19 @@ def work_value() -> Column:
 
 def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ship date numbers the file."""
+    texts = work_rows(spark, sf_dir).select(
+        F.unix_date("shipped").cast("long").alias("file_no"),
+        "line_no",
+        "k",
+        work_value().alias("work"),
+    )
     lines = F.array(
-        work_value(),
+        F.col("work"),
         F.when(F.expr("k % 13 = 5"), fill('{"id":%s}', "k")),
         F.when(F.expr("k % 11 = 3"), F.lit("  \t")),
         F.when(F.expr("k % 17 = 6"), fill('[%s,"x"]', "k")),
     )
-    return work_rows(spark, sf_dir).select(
-        F.unix_date("shipped").cast("long").alias("file_no"),
-        "line_no",
-        F.explode(F.array_compact(lines)).alias("value"),
-    )
+    return texts.select("file_no", "line_no", F.explode(F.array_compact(lines)).alias("value"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
