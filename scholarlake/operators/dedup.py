@@ -22,7 +22,7 @@ BYTES_PER_ROW = 64  # overhead of a row in a broadcast table, on the high side
 
 
 def first_per_id(records: DataFrame) -> DataFrame:
-    """One shuffle on id.
+    """The records that have an id, once each; one shuffle on id.
 
     Before it, every task keeps just its own first record per id (Spark's
     window group limit), so an id that fills a third of the input sends one
@@ -30,7 +30,8 @@ def first_per_id(records: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("id").orderBy("file_no", "line_no", "arrival")
     return (
-        records.withColumn("place", F.row_number().over(order))
+        records.where("id is not null")
+        .withColumn("place", F.row_number().over(order))
         .where("place = 1")
         .drop("place", "file_no", "line_no", "arrival")
     )

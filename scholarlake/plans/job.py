@@ -123,6 +123,15 @@ def run(
     return report
 
 
+def stage_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
+    """What the stage holds: every line parsed, with its rank."""
+    return (
+        parse_records(lines, tables)
+        .withColumn("rank", dedup.rank())
+        .drop("file_no", "line_no", "arrival")
+    )
+
+
 def _staged(
     lines: DataFrame, tables: Sequence[RecordTable], path: str, broadcast_bytes: int
 ) -> tuple[DataFrame, dict[str, int]]:
@@ -133,12 +142,11 @@ def _staged(
         for t in tables
     ]
     counted = Observation()
-    parse_records(lines, tables).withColumn("rank", dedup.rank()).drop(
-        "file_no", "line_no", "arrival"
-    ).observe(counted, *sizes).write.parquet(f"{path}/records")
+    stage_records(lines, tables).observe(counted, *sizes).write.parquet(f"{path}/records")
     most = {name: max(0, n or 0) for name, n in counted.get.items()}
 
-    staged = spark.read.parquet(f"{path}/records")
+    # Filtered here and not above, see parse_records.
+    staged = spark.read.parquet(f"{path}/records").where("id is not null")
     dedup.duplicated_ids(staged).write.parquet(f"{path}/duplicated")
     duplicated = spark.read.parquet(f"{path}/duplicated")
     return dedup.keep_first(staged, duplicated, f"{path}/winners", broadcast_bytes), most

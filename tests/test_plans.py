@@ -4,7 +4,8 @@ import pytest
 
 from scholarlake import ENTITIES, TABLES, entity_table, list_files, read_lines
 from scholarlake.operators import dedup
-from scholarlake.operators.records import parse_records, table_rows
+from scholarlake.operators.records import table_rows
+from scholarlake.plans.job import stage_records
 from workloads import lines as workload_lines
 
 
@@ -38,15 +39,15 @@ def test_only_read_keys_are_parsed(scanned):
 
 
 def test_stage_is_written_without_a_shuffle(scanned):
-    text = plan(parse_records(scanned, ENTITIES["works"]))
+    text = plan(stage_records(scanned, ENTITIES["works"]))
     assert "hashpartitioning" not in text and "SinglePartition" not in text
+    assert text.count("from_json(") == 2
 
 
 @pytest.fixture
 def stage(spark, scanned, tmp_path):
     path = str(tmp_path / "stage")
-    records = parse_records(scanned.union(scanned), ENTITIES["works"])
-    records.withColumn("rank", dedup.rank()).write.parquet(path)
+    stage_records(scanned.union(scanned), ENTITIES["works"]).write.parquet(path)
     return spark.read.parquet(path)
 
 
