@@ -21,6 +21,12 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out rows of a small input with few splits; each becomes a long line."""
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 def fill(template: str, *values: str) -> Column:
     """``template`` with each ``%s`` replaced by an expression (NULL if one is NULL)."""
     texts = template.split("%s")
@@ -180,7 +186,7 @@ def institution_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publisher_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "pages", "page_id", "url", "html").withColumnRenamed("page_id", "k")
     return snapshot(
-        rows,
+        spread(rows),
         fill("P%s", "k"),
         name_pair(fill("%s", quoted("url"))),
         count_pair("k"),
@@ -202,7 +208,7 @@ def topic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     ).withColumnRenamed("p_partkey", "k")
     return snapshot(
-        rows,
+        spread(rows),
         fill("T%s", "k"),
         name_pair(fill('"%s"', "p_name")),
         count_pair("p_size"),
@@ -237,12 +243,6 @@ WORK_COLUMNS = (
 )
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out rows of a small input with few splits; each becomes a long line."""
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
-
-
 def work_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with k, n, p, s, d and their place: ship date, then line_no.
 
@@ -400,7 +400,7 @@ def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with whole texts: as title, inside an abstract, and word by word as references."""
     words = quoted("split(text, ' ', -1)")
-    return read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars").select(
+    return spread(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")).select(
         F.lit(FIRST_FILE).cast("long").alias("file_no"),
         F.col("doc_id").alias("line_no"),
         record(
