@@ -20,9 +20,11 @@ from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, strict, trusted
 STRICT_SYNTAX = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 CORRUPT = "_corrupt"
 
-# What separates tokens in JSON, and lines that hold nothing but white space.
+# What separates tokens in JSON; lines that hold nothing but white space; how a
+# line with an object ends.
 JSON_SPACE = " \t\r\n"
 BLANK_LINE = r"^[\s\u0085\p{Z}]*$"
+OBJECT_END = r"\}[ \t\r\n]*\z"
 
 
 @dataclass(frozen=True)
@@ -71,9 +73,9 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
             {**STRICT_SYNTAX, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
         ),
     )
-    regular = (
-        F.col("value").startswith("{") & typed[CORRUPT].isNull() & trusted(typed, shape)
-    )
+    line = F.col("value")
+    whole_object = line.startswith("{") & (line.endswith("}") | line.endswith("}\r"))
+    regular = whole_object & typed[CORRUPT].isNull() & trusted(typed, shape)
     # A NULL object may stand for a missing key or for null.
     unclear = {
         table.child: typed[table.child].isNull()
@@ -107,14 +109,17 @@ def _object_line(value: str) -> Column:
     """The line for from_json(): objects as they are, blank lines as NULL.
 
     Other JSON values are skipped, not errors, so they are wrapped into an
-    object without an id; parse_json() still fails on what is not JSON.
+    object without an id; parse_json() still fails on what is not JSON.  The
+    parsers stop after the first value, so text behind it is looked for here.
     """
     line = F.col(value)
+    is_object = line.startswith("{") | F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
+    left_over = F.raise_error(F.concat(F.lit("Malformed line, does not end with }: "), line))
     other = F.concat(F.lit('{"other":'), F.to_json(F.parse_json(line)), F.lit("}"))
     return (
-        F.when(line.startswith("{"), line)
+        F.when(is_object & line.rlike(OBJECT_END), line)
+        .when(is_object, left_over)
         .when(line.rlike(BLANK_LINE), F.lit(None))
-        .when(F.ltrim(line, F.lit(JSON_SPACE)).startswith("{"), line)
         .otherwise(other)
     )
 

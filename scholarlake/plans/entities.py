@@ -1,6 +1,7 @@
 """Output tables of the five entities.
 
 Each table states what it reads (a shape) and how its columns follow from that.
+Keys and column names are fixed by the format of the snapshots and of the tables.
 """
 
 from __future__ import annotations

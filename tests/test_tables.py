@@ -167,14 +167,16 @@ def test_no_child_rows(lines, name, value):
 def test_lines_without_a_record(lines):
     skipped = ["", "  \t", "\r", " 　", "\u0085", "[1]", '"x"', "5", "true", "null", '{"id":5}',
                '{"id":null}', "{}", '{"id":["a"]}', ' [{"id":"x"}]']
-    kept = ['{"id":"a"}', ' \t{"id":"b"}', '{"id":"c"}\r', '{ "id" : "5" }']
-    assert sorted(r[0] for r in table(lines, "publishers", *skipped, *kept)) == ["5", "a", "b", "c"]
+    kept = ['{"id":"a"}', ' \t{"id":"b"}', '{"id":"c"}\r', '{ "id" : "5" }', '{"id":"d"} \t ',
+            '{"id":"e"}\r\r']
+    got = sorted(r[0] for r in table(lines, "publishers", *skipped, *kept))
+    assert got == ["5", "a", "b", "c", "d", "e"]
 
 
 @pytest.mark.parametrize(
     "bad",
     ['{"id":"a"', "nope", '{"id":"a","unread":nope}', "{'id':'a'}", '{"id":"a","works_count":NaN}',
-     '{"id":"a","works_count":01}', "[1", '{"id":"a",}', " x", '{"id":"a\nb"}'],
+     '{"id":"a","works_count":01}', "[1", '{"id":"a",}', " x", '{"id":"a\nb"}', '{"id":"a"} x', '{"id":"a"},', '{"id":"a"}]', ' {"id":"a"} 5'],
 )
 def test_malformed_line_fails(lines, bad):
     with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
