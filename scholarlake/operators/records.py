@@ -110,15 +110,16 @@ def _object_line(value: str) -> Column:
 
     Other JSON values are skipped, not errors, so they are wrapped into an
     object without an id; parse_json() still fails on what is not JSON.  The
-    parsers stop after the first value, so text behind it is looked for here.
+    parsers stop after the first value, so a line that does not end as an object
+    is put where only a single value can stand, and fails there.
     """
     line = F.col(value)
     is_object = line.startswith("{") | F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
-    left_over = F.raise_error(F.concat(F.lit("Malformed line, does not end with }: "), line))
+    one_value = F.concat(F.lit('{"other":'), line, F.lit(',"again":['), line, F.lit("]}"))
     other = F.concat(F.lit('{"other":'), F.to_json(F.parse_json(line)), F.lit("}"))
     return (
         F.when(is_object & line.rlike(OBJECT_END), line)
-        .when(is_object, left_over)
+        .when(is_object, one_value)
         .when(line.rlike(BLANK_LINE), F.lit(None))
         .otherwise(other)
     )
