@@ -3,6 +3,7 @@
 A shape names the keys that are wanted and the JSON type each must have:
 
     TEXT, WHOLE, NUMBER, TRUTH   a string, an integer, any number, a boolean
+    SELDOM_TEXT                  a string, where snapshots mostly have something else
     JSON                         any value, kept as compact text
     [shape]                      an array
     {"key": shape, ...}          an object
@@ -30,6 +31,8 @@ WHOLE = "bigint"
 NUMBER = "double"
 TRUTH = "boolean"
 JSON = "variant"
+# Read as VARIANT from the start, so that what is no string raises no doubt.
+SELDOM_TEXT = "seldom"
 
 Shape = str | list | dict
 
@@ -48,7 +51,7 @@ def ddl(shape: Shape) -> str:
         return f"array<{ddl(shape[0])}>"
     if isinstance(shape, dict):
         return f"struct<{', '.join(f'`{key}`: {ddl(part)}' for key, part in shape.items())}>"
-    return shape
+    return JSON if shape == SELDOM_TEXT else shape
 
 
 def trusted(value: Column, shape: Shape) -> Column:
@@ -56,25 +59,50 @@ def trusted(value: Column, shape: Shape) -> Column:
 
     Apart from the difference between a missing object and null.
     """
-    texts = _texts(value, shape)
+    texts = _leaves(value, shape, TEXT)
     if not texts:
         return F.lit(True)
     return ~F.concat_ws("\n", *texts).rlike(NOT_SURELY_TEXT)
 
 
-def _texts(value: Column, shape: Shape, inside_array: bool = False) -> list[Column]:
-    """All strings in a value, as columns of strings or of arrays of strings."""
+def infinite(value: Column, shape: Shape) -> Column | None:
+    """Whether a number in a value was beyond double range; None without numbers."""
+    found = None
+    for leaf, many in zip(*(_leaves(value, shape, NUMBER, told) for told in (False, True)), strict=True):
+        for limit in (float("inf"), float("-inf")):
+            own = F.array_contains(leaf, F.lit(limit)) if many else leaf == F.lit(limit)
+            found = own if found is None else found | own
+    return found
+
+
+def settled(value: Column, shape: Shape) -> Column:
+    """The value with its SELDOM_TEXT parts as strings."""
+    if shape == SELDOM_TEXT:
+        return js.text(value)
+    if not isinstance(shape, dict) or SELDOM_TEXT not in shape.values():
+        return value
+    parts = [settled(value[key], part).alias(key) for key, part in shape.items()]
+    return F.when(value.isNotNull(), F.struct(*parts))
+
+
+def _leaves(
+    value: Column, shape: Shape, kind: str, told: bool = False, inside_array: bool = False
+) -> list:
+    """All parts of one kind in a value, as columns of it or of arrays of it.
+
+    ``told``: instead of each column, whether it is one of arrays.
+    """
     if isinstance(shape, list):
         if inside_array:
             value = F.flatten(F.array_compact(value))
-        return _texts(value, shape[0], inside_array=True)
+        return _leaves(value, shape[0], kind, told, inside_array=True)
     if isinstance(shape, dict):
         return [
             column
             for key, part in shape.items()
-            for column in _texts(value[key], part, inside_array)
+            for column in _leaves(value[key], part, kind, told, inside_array)
         ]
-    return [value] if shape == TEXT else []
+    return [inside_array if told else value] if shape == kind else []
 
 
 def strict(v: Column, shape: Shape) -> Column:
@@ -90,6 +118,6 @@ def strict(v: Column, shape: Shape) -> Column:
     if isinstance(shape, dict):
         parts = [strict(js.at(v, key), part).alias(key) for key, part in shape.items()]
         return F.when(js.present(v), F.struct(*parts))
-    return {TEXT: js.text, WHOLE: js.whole, NUMBER: js.number, TRUTH: js.truth, JSON: js.itself}[
-        shape
-    ](v)
+    return {TEXT: js.text, WHOLE: js.whole, NUMBER: js.number, TRUTH: js.truth}.get(
+        shape, js.itself
+    )(v)

@@ -27,6 +27,11 @@ def at(v: Column, path: str) -> Column:
     return F.variant_get(v, f"$.{path}", "variant")
 
 
+def element(v: Column, place: int) -> Column:
+    """An element of an array; NULL where there is none."""
+    return F.try_variant_get(v, f"$[{place}]", "variant")
+
+
 def present(v: Column) -> Column:
     """True if the key exists, even with the value ``null``."""
     return v.isNotNull()

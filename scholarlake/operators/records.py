@@ -1,12 +1,13 @@
 """Lines to typed records, typed records to table rows.
 
-A record has ``id``, ``file_no``, ``line_no`` and the top-level keys its tables
+A record has ``id``, ``file_key``, ``line_no`` and the top-level keys its tables
 read, in the types of their shapes.  No JSON tree is left in it, so what later
 steps shuffle or store is only what the tables hold.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -14,17 +15,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.functions import strict_json as js
-from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, strict, trusted
+from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, infinite, settled, strict, trusted
 
 # from_json() accepts more than JSON unless told otherwise.
 STRICT_SYNTAX = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 CORRUPT = "_corrupt"
 
-# What separates tokens in JSON; lines that hold nothing but white space; how a
-# line with an object ends.
+# What separates tokens in JSON; lines that hold nothing but white space.
 JSON_SPACE = " \t\r\n"
 BLANK_LINE = r"^[\s\u0085\p{Z}]*$"
-OBJECT_END = r"\}[ \t\r\n]*\z"
+
+# Escapes that stand for themselves or in pairs; what is left of others is an error.
+WHOLE_ESCAPES = r"\\\\|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+HALF_ESCAPE = r"\\u[dD][89a-fA-F]"
 
 
 @dataclass(frozen=True)
@@ -42,7 +45,6 @@ class RecordTable:
     child: str | None = None
     each: str | None = None
     required: str | None = None  # rows that lack this column are dropped
-    rows_per_file: int = 1_000_000  # for output files of some 100 MB
 
 
 def record_shape(tables: Sequence[RecordTable]) -> dict[str, Shape]:
@@ -50,54 +52,92 @@ def record_shape(tables: Sequence[RecordTable]) -> dict[str, Shape]:
 
 
 def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
-    """Lines (file_no, line_no, value) to the records of ``tables``.
+    """Lines (file_key, line_no, value) to the records of ``tables``.
 
     Every line is parsed into typed columns; the few that may have lost
     something on the way are parsed again, strictly.  A malformed line fails
-    the run.
+    the run: anything that is not exactly one JSON value, bytes that are not
+    UTF-8, half a surrogate pair, a number that is read and beyond double range.
 
     Blank lines and records whose id is not a string have a NULL id and must be
     dropped by the caller.  A filter here could be pushed below the parse and
     would then parse everything once more.
+
+    Spark's parsers stop after the first value.  So each line is put into an
+    array, before an element that only this call can know, below a key that only
+    this call can know.  The line is one value if and only if that array comes
+    back with two elements, the second of them ours: text that closes the array
+    or the object early leaves ours out, a second value makes it longer, and
+    anything else is a syntax error.
     """
     shape = {"id": TEXT, **record_shape(tables)}
-    fields = ", ".join(f"`{key}` {ddl(part)}" for key, part in shape.items())
-    variants = ", ".join(f"`{key}` variant" for key in shape)
-    typed, json = F.col("typed"), F.col("json")
+    ours = f"_{uuid.uuid4().hex}"
+    fields = ", ".join(f"`{key}`: {ddl(part)}" for key, part in shape.items())
+    variants = ", ".join(f"`{key}`: variant" for key in shape)
+
+    def enclosed(line: Column) -> Column:
+        return F.concat(F.lit(f'{{"{ours}":['), line, F.lit(f',{{"{ours}":true}}]}}'))
+
+    def one_value(array: Column) -> Column:
+        return (F.size(array) == 2) & F.coalesce(array[1][ours], F.lit(False))
 
     parsed = lines.withColumn(
         "typed",
         F.from_json(
-            "value",
-            f"{fields}, {CORRUPT} string",
+            enclosed(_sound("value")),
+            f"`{ours}` array<struct<{fields}, `{ours}`: boolean>>, {CORRUPT} string",
             {**STRICT_SYNTAX, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
         ),
     )
-    line = F.col("value")
-    whole_object = line.startswith("{") & (line.endswith("}") | line.endswith("}\r"))
-    regular = whole_object & typed[CORRUPT].isNull() & trusted(typed, shape)
+    array = F.col("typed")[ours]
+    typed = F.get(array, F.lit(0))
+    whole = F.col("typed")[CORRUPT].isNull() & F.coalesce(one_value(array), F.lit(False))
+    regular = whole & typed.isNotNull() & trusted(typed, shape)
     # A NULL object may stand for a missing key or for null.
     unclear = {
         table.child: typed[table.child].isNull()
         for table in tables
         if table.child and not table.required
     }
-    judged = parsed.withColumn("regular", regular)
+    judged = parsed.withColumn("regular", F.coalesce(regular, F.lit(False)))
     second = ~F.col("regular")
     for is_unclear in unclear.values():
         second = second | is_unclear
-    again = F.from_json(_object_line("value"), variants, {**STRICT_SYNTAX, "mode": "FAILFAST"})
-    both = judged.withColumn("json", F.when(second, again))
+
+    line = F.col("value")
+    is_object = F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
+    again = F.from_json(
+        F.when(is_object, enclosed(line)),
+        f"`{ours}` array<struct<{variants}, `{ours}`: boolean>>",
+        {**STRICT_SYNTAX, "mode": "FAILFAST"},
+    )[ours]
+    # Values that are no objects are skipped, but they must be one value as well.
+    other = F.parse_json(F.concat(F.lit("["), line, F.lit(f',"{ours}"]')))
+    is_other = js.text(js.element(other, 1)) == ours
+    malformed = F.raise_error(F.concat(F.lit("MALFORMED line, not one JSON value: "), line))
+    both = judged.withColumn("json", F.when(second & is_object, again)).withColumn(
+        "json",
+        F.when(F.col("json").isNotNull(), F.when(one_value(F.col("json")), F.col("json")[0]).otherwise(malformed))
+        .when(~second | is_object | line.rlike(BLANK_LINE), F.lit(None))
+        .when(F.coalesce(is_other, F.lit(False)), F.lit(None))
+        .otherwise(malformed),
+    )
+    json = F.col("json")
 
     def field(key: str) -> Column:
         part = shape[key]
         clear = F.col("regular") & ~unclear[key] if key in unclear else F.col("regular")
         value = F.when(clear, typed[key]).otherwise(strict(json[key], part))
-        return (js.compact(value) if part == JSON else value).alias(key)
+        too_large = infinite(value, part)
+        if too_large is not None:
+            value = F.when(
+                too_large, F.raise_error(F.concat(F.lit("MALFORMED number: "), line))
+            ).otherwise(value)
+        return (js.compact(value) if part == JSON else settled(value, part)).alias(key)
 
     return both.select(
         *map(field, shape),
-        "file_no",
+        "file_key",
         "line_no",
         # Last sort key of first_per_id.  While it is in use, no filter moves
         # below this step.
@@ -105,24 +145,13 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
     )
 
 
-def _object_line(value: str) -> Column:
-    """The line for from_json(): objects as they are, blank lines as NULL.
-
-    Other JSON values are skipped, not errors, so they are wrapped into an
-    object without an id; parse_json() still fails on what is not JSON.  The
-    parsers stop after the first value, so a line that does not end as an object
-    is put where only a single value can stand, and fails there.
-    """
-    line = F.col(value)
-    is_object = line.startswith("{") | F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
-    one_value = F.concat(F.lit('{"other":'), line, F.lit(',"again":['), line, F.lit("]}"))
-    other = F.concat(F.lit('{"other":'), F.to_json(F.parse_json(line)), F.lit("}"))
-    return (
-        F.when(is_object & line.rlike(OBJECT_END), line)
-        .when(is_object, one_value)
-        .when(line.rlike(BLANK_LINE), F.lit(None))
-        .otherwise(other)
-    )
+def _sound(value: str) -> Column:
+    """The line, if its bytes are UTF-8 and its escapes whole; else the run fails."""
+    line = F.validate_utf8(F.col(value))
+    broken = F.regexp_replace(line, WHOLE_ESCAPES, "").rlike(HALF_ESCAPE)
+    escaped = F.contains(line, F.lit("\\ud")) | F.contains(line, F.lit("\\uD"))
+    error = F.raise_error(F.concat(F.lit("MALFORMED line, half a surrogate pair: "), line))
+    return F.when(escaped & broken, error).otherwise(line)
 
 
 def table_rows(records: DataFrame, table: RecordTable) -> DataFrame:

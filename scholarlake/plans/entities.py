@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.functions import strict_json as js
-from scholarlake.functions.shape import JSON, NUMBER, TEXT, TRUTH, WHOLE
+from scholarlake.functions.shape import JSON, NUMBER, SELDOM_TEXT, TEXT, TRUTH, WHOLE
 from scholarlake.operators.dedup import first_per_id
 from scholarlake.operators.records import RecordTable, parse_records, table_rows
 
@@ -84,7 +84,6 @@ AUTHORS = (
             "updated_date": TEXT,
         },
         _authors,
-        rows_per_file=2_000_000,
     ),
     RecordTable(
         "authors_ids",
@@ -96,12 +95,11 @@ AUTHORS = (
                 "scopus": TEXT,
                 "twitter": TEXT,
                 "wikipedia": TEXT,
-                "mag": TEXT,
+                "mag": SELDOM_TEXT,  # a number in snapshots
             }
         },
         _authors_ids,
         child="ids",
-        rows_per_file=4_000_000,
     ),
     RecordTable(
         "authors_counts_by_year",
@@ -119,7 +117,6 @@ AUTHORS = (
         _authors_counts_by_year,
         each="counts_by_year",
         required="year",
-        rows_per_file=20_000_000,
     ),
 )
 
@@ -189,7 +186,6 @@ INSTITUTIONS = (
         },
         _institutions_geo,
         child="geo",
-        rows_per_file=4_000_000,
     ),
 )
 
@@ -347,7 +343,6 @@ WORKS = (
             "language": TEXT,
         },
         _works,
-        rows_per_file=200_000,
     ),
     RecordTable(
         "works_locations",
@@ -365,7 +360,6 @@ WORKS = (
         _works_locations,
         child="primary_location",
         required="source_id",
-        rows_per_file=2_000_000,
     ),
     RecordTable(
         "works_authorships",
@@ -383,7 +377,6 @@ WORKS = (
         _works_authorships,
         each="authorships",
         required="author_id",
-        rows_per_file=4_000_000,
     ),
     RecordTable(
         "works_topics",
@@ -392,7 +385,6 @@ WORKS = (
         _works_topics,
         each="topics",
         required="topic_id",
-        rows_per_file=8_000_000,
     ),
     RecordTable(
         "works_open_access",
@@ -407,7 +399,6 @@ WORKS = (
         },
         _works_open_access,
         child="open_access",
-        rows_per_file=4_000_000,
     ),
     RecordTable(
         "works_citations",
@@ -416,7 +407,6 @@ WORKS = (
         _works_citations,
         each="referenced_works",
         required="referenced_work_id",
-        rows_per_file=10_000_000,
     ),
 )
 
@@ -433,7 +423,7 @@ TABLES: dict[str, RecordTable] = {t.name: t for tables in ENTITIES.values() for
 
 
 def entity_table(lines: DataFrame, name: str) -> DataFrame:
-    """One table straight from lines (file_no, line_no, value): parse, dedup, cut out.
+    """One table straight from lines (file_key, line_no, value): parse, dedup, cut out.
 
     Lazy, with one scan and one shuffle, and it parses only the keys of that
     table.  Use ``run`` for all tables of an entity.
