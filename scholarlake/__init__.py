@@ -2,13 +2,14 @@
 
 from scholarlake.plans import ENTITIES, TABLES, RunReport, entity_table, run
 from scholarlake.plans.job import configure
-from scholarlake.sources import list_files, read_lines
+from scholarlake.sources import count_files, list_files, read_lines
 
 __all__ = [
     "ENTITIES",
     "TABLES",
     "RunReport",
     "configure",
+    "count_files",
     "entity_table",
     "list_files",
     "read_lines",

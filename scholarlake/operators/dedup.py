@@ -1,11 +1,12 @@
 """First record per id, exact and over all files.
 
-"First" is the order of (file_no, line_no): the sorted file list, then the
-lines of a file.  Later records are dropped with all their child rows.
+"First" is the order of (file_key, line_no): the sorted paths, then the lines of
+a file.  Later records are dropped with all their child rows.
 
 There are two physical forms.  ``first_per_id`` suits one result from records
-that are read once.  ``duplicated_ids`` with ``keep_first`` suits stored
-records that feed several tables: it shuffles ids only, never whole records.
+that are read once; it shuffles what it is given, for works with every
+abstract.  ``duplicated_ids`` with ``keep_first`` suits stored records that feed
+several tables: it shuffles ids and places only, never whole records.
 """
 
 from __future__ import annotations
@@ -13,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scholarlake.sources.snapshot import LINE_BITS
-
 # Up to here the duplicated ids are broadcast; above, records are matched by
-# their unique rank in a shuffle join.
+# their unique place in a shuffle join.
 BROADCAST_BYTES = 64 << 20
 BYTES_PER_ROW = 64  # overhead of a row in a broadcast table, on the high side
 
+PLACE = ("file_key", "line_no")  # unique per record
+
 
 def first_per_id(records: DataFrame) -> DataFrame:
     """The records that have an id, once each; one shuffle on id.
@@ -28,28 +29,23 @@ def first_per_id(records: DataFrame) -> DataFrame:
     window group limit), so an id that fills a third of the input sends one
     record per task.
     """
-    order = Window.partitionBy("id").orderBy("file_no", "line_no", "arrival")
+    order = Window.partitionBy("id").orderBy(*PLACE, "arrival")
     return (
         records.where("id is not null")
-        .withColumn("place", F.row_number().over(order))
-        .where("place = 1")
-        .drop("place", "file_no", "line_no", "arrival")
+        .withColumn("nth", F.row_number().over(order))
+        .where("nth = 1")
+        .drop("nth", *PLACE, "arrival")
     )
 
 
-def rank():
-    """(file_no, line_no) as one number, unique per record of a snapshot."""
-    return F.shiftleft("file_no", LINE_BITS).bitwiseOR(F.col("line_no"))
-
-
 def duplicated_ids(records: DataFrame) -> DataFrame:
-    """Ids that occur more than once, with the rank of the record to keep.
+    """Ids that occur more than once, with the place of the record to keep.
 
-    A hash aggregation over two narrow columns, combined in each task first.
+    One shuffle of narrow columns, combined in each task first.
     """
     return (
         records.groupBy("id")
-        .agg(F.min("rank").alias("keep"), F.count(F.lit(1)).alias("copies"))
+        .agg(F.min(F.struct(*PLACE)).alias("keep"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
         .select("id", "keep")
     )
@@ -58,26 +54,29 @@ def duplicated_ids(records: DataFrame) -> DataFrame:
 def keep_first(
     records: DataFrame,
     duplicated: DataFrame,
-    winners_path: str,
+    losers_path: str,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The first record of every id.  ``duplicated`` must be stored, it is measured here.
 
     No duplicates: nothing to do.  Few duplicated ids: a broadcast join drops
-    the later copies where they are read, however many there are.  Many:
-    ranks to keep are stored at ``winners_path`` and records are matched by
-    rank, which is unique, so no id can overload a task.
+    the later copies where they are read, however many there are.  Many: the
+    places of later copies are stored at ``losers_path``, once for all tables,
+    and records are matched by place, which is unique, so no id can overload a
+    task.
     """
     ids, id_bytes = duplicated.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("id")), F.lit(0))
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.octet_length("id") + F.octet_length("keep.file_key")), F.lit(0)),
     ).first()
     if ids == 0:
         return records
+    place = F.struct(*PLACE)
     if id_bytes + ids * BYTES_PER_ROW <= broadcast_bytes:
-        first = F.col("keep").isNull() | (F.col("keep") == F.col("rank"))
+        first = F.col("keep").isNull() | (F.col("keep") == place)
         return records.join(F.broadcast(duplicated), "id", "left").where(first).drop("keep")
-    records.groupBy("id").agg(F.min("rank").alias("rank")).select("rank").write.mode(
-        "overwrite"
-    ).parquet(winners_path)
-    winners = records.sparkSession.read.parquet(winners_path)
-    return records.join(winners, "rank", "left_semi")
+    records.select("id", *PLACE).join(duplicated, "id").where(place != F.col("keep")).select(
+        *PLACE
+    ).write.mode("overwrite").parquet(losers_path)
+    losers = records.sparkSession.read.parquet(losers_path)
+    return records.join(losers, list(PLACE), "left_anti")

@@ -15,20 +15,21 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from scholarlake.operators import dedup
 from scholarlake.operators.records import RecordTable, parse_records, table_rows
 from scholarlake.plans.entities import ENTITIES
+from scholarlake.sinks import scratch
 from scholarlake.sinks.parquet import table_path, write_table
-from scholarlake.sources.snapshot import FILE_PATTERN, list_files, read_lines
+from scholarlake.sources.snapshot import FILE_PATTERN, count_files, read_lines
 
 log = logging.getLogger(__name__)
 
@@ -62,16 +63,34 @@ class RunReport:
         ]
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Session settings for the parser."""
+# Session settings for the parser.
+SETTINGS = {
     # Of a repeated key the last value counts.
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Records have many columns: a whole stage in one method grows beyond what
     # the JVM compiles (8000 bytes) and would run interpreted.
-    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Set what lazy tables need; ``run`` does it by itself and takes it back."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 
+@contextmanager
+def _configured(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    configure(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def run(
     spark: SparkSession,
     input_dir: str,
@@ -87,7 +106,6 @@ def run(
     ``stage_dir`` must be shared by all executors.  It defaults to
     spark.checkpoint.dir, or to the output directory where that is unset.
     """
-    configure(spark)
     names = [name.strip() for name in entities]
     for name in names:
         if name not in ENTITIES:
@@ -99,82 +117,71 @@ def run(
     report = RunReport()
 
     def convert(entity: str) -> None:
-        files = list_files(spark, input_dir, entity, files_per_entity, pattern)
-        lines = read_lines(spark, files)
+        lines = read_lines(spark, input_dir, entity, files_per_entity, pattern)
         tables = ENTITIES[entity]
         if len(tables) == 1:
             records = dedup.first_per_id(parse_records(lines, tables))
-            most = {}
         else:
-            records, most = _staged(lines, tables, f"{stage}/{entity}", broadcast_bytes)
+            records = _staged(lines, tables, f"{stage}/{entity}", broadcast_bytes)
 
         def write(table: RecordTable) -> None:
-            files_out = _file_count(most.get(table.name), table)
             path = table_path(output_dir, table.name)
-            report.rows[table.name] = write_table(table_rows(records, table), path, files_out)
+            # The first table has most of a record's bytes; the others are narrow.
+            narrow = table is not tables[0]
+            report.rows[table.name] = write_table(table_rows(records, table), path, narrow)
 
         _together(spark, write, tables)
-        report.files[entity] = len(files)
-
-    _together(spark, convert, known)
-    _remove(spark, stage)
+        files = count_files(spark, input_dir, entity, pattern)
+        report.files[entity] = min(files, files_per_entity) if files_per_entity > 0 else files
+
+    try:
+        with _configured(spark):
+            _together(spark, convert, known)
+    except BaseException:
+        log.error("the intermediate tables of the failed run are kept in %s", stage)
+        raise
+    scratch.remove(spark, stage)
     # Threads finish in any order.
     report.files = {name: report.files[name] for name in known}
     return report
 
 
 def stage_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
-    """What the stage holds: every line parsed, with its rank."""
-    return (
-        parse_records(lines, tables)
-        .withColumn("rank", dedup.rank())
-        .drop("file_no", "line_no", "arrival")
-    )
+    """What the stage holds: every line parsed, with its place."""
+    return parse_records(lines, tables).drop("arrival")
 
 
 def _staged(
     lines: DataFrame, tables: Sequence[RecordTable], path: str, broadcast_bytes: int
-) -> tuple[DataFrame, dict[str, int]]:
-    """Records stored once; also how many rows each table has at most."""
+) -> DataFrame:
+    """First records, from all records stored once."""
     spark = lines.sparkSession
-    sizes = [
-        F.sum(_row_bound(t)).alias(t.name)
-        for t in tables
-    ]
-    counted = Observation()
-    stage_records(lines, tables).observe(counted, *sizes).write.parquet(f"{path}/records")
-    most = {name: max(0, n or 0) for name, n in counted.get.items()}
-
+    stage_records(lines, tables).write.parquet(f"{path}/records")
     # Filtered here and not above, see parse_records.
     staged = spark.read.parquet(f"{path}/records").where("id is not null")
     dedup.duplicated_ids(staged).write.parquet(f"{path}/duplicated")
     duplicated = spark.read.parquet(f"{path}/duplicated")
-    return dedup.keep_first(staged, duplicated, f"{path}/winners", broadcast_bytes), most
-
-
-def _row_bound(table: RecordTable) -> Column:
-    """How many rows of a table one record gives, at most."""
-    if table.each:
-        return F.size(table.each).cast("long")
-    return (F.col(table.child).isNotNull() if table.child else F.lit(True)).cast("long")
-
-
-def _file_count(rows: int | None, table: RecordTable) -> int | None:
-    return None if rows is None else max(1, -(-rows // table.rows_per_file))
+    return dedup.keep_first(staged, duplicated, f"{path}/losers", broadcast_bytes)
 
 
 def _together(spark: SparkSession, task: Callable[[T], None], over: Sequence[T]) -> None:
-    """Submit Spark jobs side by side; the first failure is raised when all are done."""
+    """Submit Spark jobs side by side; the first failure cancels the others and is raised."""
     if not over:
         return
-    with ThreadPoolExecutor(len(over)) as pool:
-        submitted = [pool.submit(inheritable_thread_target(spark)(task), item) for item in over]
-    for future in submitted:
-        future.result()
+    context = spark.sparkContext
+    tag = f"scholarlake-{uuid.uuid4().hex}"
 
+    def tagged(item: T) -> None:
+        context.addJobTag(tag)
+        task(item)
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete the stage of a finished run; after a failure it stays for inspection."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(hadoop_path, True)
+    with ThreadPoolExecutor(len(over)) as pool:
+        submitted = [pool.submit(inheritable_thread_target(spark)(tagged), item) for item in over]
+        done, others = wait(submitted, return_when=FIRST_EXCEPTION)
+        failed = next((future for future in done if future.exception()), None)
+        if failed is not None:
+            context.cancelJobsWithTag(tag)
+            for future in others:
+                future.cancel()
+    if failed is not None:
+        failed.result()
