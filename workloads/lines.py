@@ -1,6 +1,6 @@
 """Snapshot lines built from the driver's tables.
 
-One builder per entity.  Each returns (file_no, line_no, value): JSON lines as a
+One builder per entity.  Each returns (file_key, line_no, value): JSON lines as a
 snapshot holds them, with the irregularities the reader must cope with spread
 over the keys, so that plain SQL on the same tables can say what must come out.
 
@@ -21,12 +21,6 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Deal out rows of a small input with few splits; each becomes a long line."""
-    tasks = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(tasks) if rows.rdd.getNumPartitions() < tasks else rows
-
-
 def fill(template: str, *values: str) -> Column:
     """``template`` with each ``%s`` replaced by an expression (NULL if one is NULL)."""
     texts = template.split("%s")
@@ -78,8 +72,8 @@ def snapshot(rows: DataFrame, id: Column, name: Column, *pairs: Column) -> DataF
     For k % 10 = 0 a second record of the same id lies in a later file; lines
     without a usable id, blank lines and lines that are no objects are mixed in.
     """
-    def line(file_no: int, value: Column) -> Column:
-        return F.struct(F.lit(file_no).cast("long").alias("file_no"), value.alias("value"))
+    def line(file_key: int, value: Column) -> Column:
+        return F.struct(F.lit(file_key).cast("long").alias("file_key"), value.alias("value"))
 
     # The texts are made in a step of their own: inside the generator they would
     # not be compiled.
@@ -186,7 +180,7 @@ def institution_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publisher_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "pages", "page_id", "url", "html").withColumnRenamed("page_id", "k")
     return snapshot(
-        spread(rows),
+        rows,
         fill("P%s", "k"),
         name_pair(fill("%s", quoted("url"))),
         count_pair("k"),
@@ -208,7 +202,7 @@ def topic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     ).withColumnRenamed("p_partkey", "k")
     return snapshot(
-        spread(rows),
+        rows,
         fill("T%s", "k"),
         name_pair(fill('"%s"', "p_name")),
         count_pair("p_size"),
@@ -248,7 +242,7 @@ def work_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``odd`` marks the records, one in eight, that have values of unexpected types.
     """
-    return spread(read(spark, sf_dir, "lineitem", *WORK_COLUMNS)).selectExpr(
+    return read(spark, sf_dir, "lineitem", *WORK_COLUMNS).selectExpr(
         "l_orderkey as k",
         "l_linenumber as n",
         "l_partkey as p",
@@ -383,7 +377,7 @@ def work_value() -> Column:
 def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ship date numbers the file."""
     texts = work_rows(spark, sf_dir).select(
-        F.unix_date("shipped").cast("long").alias("file_no"),
+        F.unix_date("shipped").cast("long").alias("file_key"),
         "line_no",
         "k",
         work_value().alias("work"),
@@ -394,14 +388,14 @@ def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.expr("k % 11 = 3"), F.lit("  \t")),
         F.when(F.expr("k % 17 = 6"), fill('[%s,"x"]', "k")),
     )
-    return texts.select("file_no", "line_no", F.explode(F.array_compact(lines)).alias("value"))
+    return texts.select("file_key", "line_no", F.explode(F.array_compact(lines)).alias("value"))
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with whole texts: as title, inside an abstract, and word by word as references."""
     words = quoted("split(text, ' ', -1)")
-    return spread(read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")).select(
-        F.lit(FIRST_FILE).cast("long").alias("file_no"),
+    return read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars").select(
+        F.lit(FIRST_FILE).cast("long").alias("file_key"),
         F.col("doc_id").alias("line_no"),
         record(
             fill("W%s", "doc_id"),

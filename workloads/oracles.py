@@ -259,6 +259,14 @@ c AS (
   UNION ALL SELECT 'works_open_access', count(*) FROM w WHERE k % 9 <> 0
   UNION ALL SELECT 'works_citations', 3 * count(*) FROM w)
 SELECT table_name, n, n AS reported FROM c
+""",
+    "job_twice": """
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1),
+f AS (SELECT 1 AS run, count(*) AS files, CAST(sum(n) AS BIGINT) AS n FROM m
+      UNION ALL SELECT 2, 1, (SELECT n FROM m ORDER BY month LIMIT 1))
+SELECT run, 'files' AS what, files AS reported, CAST(NULL AS BIGINT) AS found FROM f
+UNION ALL SELECT run, 'publishers', n, n FROM f
+UNION ALL SELECT run, unnest(['authors', 'authors_ids', 'authors_counts_by_year']), 0, 0 FROM f
 """,
     "job_works_citations": WORKS_CITATIONS,
     "job_works_authorships": WORKS_AUTHORSHIPS,

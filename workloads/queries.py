@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import functools
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import scholarlake
+from scholarlake.__main__ import main as command_line
 from scholarlake.functions import strict_json as js
+from scholarlake.operators import first_per_id, parse_records
+from scholarlake.sinks import scratch
 from workloads import lines as L
 
 # Spark names its own files part-00000-..., with a dash.
@@ -49,9 +50,9 @@ def document_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_first_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first event of each user, by day and event number; a user has many."""
     scholarlake.configure(spark)
-    events = L.spread(L.read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type"))
+    events = L.read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
     lines = events.select(
-        F.unix_date(F.col("ts").cast("date")).cast("long").alias("file_no"),
+        F.unix_date(F.col("ts").cast("date")).cast("long").alias("file_key"),
         F.col("event_id").alias("line_no"),
         L.fill(
             '{"id":"U%s","works_count":%s,"updated_date":"%s"}', "user_id", "event_id", "event_type"
@@ -79,8 +80,8 @@ def blank_and_bad_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" \t\r"),
         F.lit(" \u0085　"),
     ]
-    lines = L.spread(L.read(spark, sf_dir, "orders", "o_orderkey")).select(
-        F.lit(0).cast("long").alias("file_no"),
+    lines = L.read(spark, sf_dir, "orders", "o_orderkey").select(
+        F.lit(0).cast("long").alias("file_key"),
         F.col("o_orderkey").alias("line_no"),
         F.explode(F.array(*kinds)).alias("value"),
     )
@@ -90,7 +91,7 @@ def blank_and_bad_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def strict_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An integer, a decimal, a string and an object, each read as every type."""
     scholarlake.configure(spark)
-    events = L.spread(L.read(spark, sf_dir, "events", "event_id", "value", "event_type", "props"))
+    events = L.read(spark, sf_dir, "events", "event_id", "value", "event_type", "props")
     parsed = events.select(
         "event_id",
         F.parse_json(
@@ -130,7 +131,7 @@ def json_text_sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = L.read(
         spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
     ).select(
-        F.lit(0).cast("long").alias("file_no"),
+        F.lit(0).cast("long").alias("file_key"),
         F.col("c_custkey").alias("line_no"),
         value.alias("value"),
     )
@@ -138,34 +139,38 @@ def json_text_sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unique records per entity, and citation edges."""
-    counts = [
-        table(name)(spark, sf_dir).agg(
-            F.lit(name).alias("counted"), F.count(F.lit(1)).alias("n")
+    """Unique records per entity, and citation edges; the works are read once."""
+    scholarlake.configure(spark)
+    counted = []
+    for entity, lines in L.LINES.items():
+        tables = [t for t in scholarlake.ENTITIES[entity] if t.name in (entity, "works_citations")]
+        records = first_per_id(parse_records(lines(spark, sf_dir), tables))
+        sums = {entity: F.count(F.lit(1))}
+        if len(tables) > 1:
+            edges = F.size(F.array_compact("referenced_works"))
+            sums["works_citations"] = F.coalesce(F.sum(F.greatest(edges, F.lit(0))), F.lit(0))
+        counted.append(
+            records.agg(*(total.cast("long").alias(name) for name, total in sums.items())).select(
+                F.inline(
+                    F.array(
+                        *(F.struct(F.lit(name).alias("counted"), F.col(name).alias("n")) for name in sums)
+                    )
+                )
+            )
         )
-        for name in (*L.LINES, "works_citations")
-    ]
-    return functools.reduce(DataFrame.unionAll, counts)
+    return functools.reduce(DataFrame.unionAll, counted)
 
 
 # ---- over files
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one of the cluster; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/workload-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="workload-")
-
-
 def write_snapshot(lines: DataFrame, path: str) -> None:
-    """Gzip files in one directory per month of file_no; path order is line order."""
-    month = F.date_format(F.date_from_unix_date(F.col("file_no").cast("int")), "yyyy-MM")
+    """Gzip files in one directory per month of file_key, a number here; path order is line order."""
+    month = F.date_format(F.date_from_unix_date(F.col("file_key").cast("int")), "yyyy-MM")
     (
         lines.withColumn("updated_date", month)
-        .repartitionByRange("file_no", "line_no")
-        .sortWithinPartitions("updated_date", "file_no", "line_no")
+        .repartitionByRange("file_key", "line_no")
+        .sortWithinPartitions("updated_date", "file_key", "line_no")
         .select("updated_date", "value")
         .write.partitionBy("updated_date")
         .option("compression", "gzip")
@@ -177,7 +182,7 @@ def job(
     spark: SparkSession, sf_dir: str, *entities: str, **options
 ) -> tuple[str, scholarlake.RunReport]:
     """Write a snapshot, convert it, and return where the tables are."""
-    folder = scratch(spark)
+    folder = scratch.new_folder(spark, "workload")
     scholarlake.configure(spark)
     for entity in entities:
         write_snapshot(L.LINES[entity](spark, sf_dir), f"{folder}/in/{entity}")
@@ -214,7 +219,7 @@ def job_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first files of a snapshot that has KEYS_PER_FILE orders in each."""
     scholarlake.configure(spark)
-    folder = scratch(spark)
+    folder = scratch.new_folder(spark, "workload")
     (
         L.read(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus")
         .select(
@@ -228,11 +233,42 @@ def file_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("compression", "gzip")
         .text(f"{folder}/works")
     )
-    files = scholarlake.list_files(spark, folder, "works", FILES_READ, SPARK_FILES)
-    works = scholarlake.entity_table(scholarlake.read_lines(spark, files), "works")
+    lines = scholarlake.read_lines(spark, folder, "works", FILES_READ, SPARK_FILES)
+    works = scholarlake.entity_table(lines, "works")
     return works.select("id", "type")
 
 
+def job_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command line, twice into one folder: all files, then the first one only.
+
+    The snapshot has a file per month of orders, a file of zero bytes, files
+    outside the pattern, and no authors at all.  What was reported is compared
+    with what is there.
+    """
+    folder = scratch.new_folder(spark, "workload")
+    orders = L.read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("updated_date"),
+        L.fill('{"id":"P%s"}', "o_orderkey").alias("value"),
+    )
+    gzip = orders.repartition("updated_date").write.option("compression", "gzip")
+    gzip.partitionBy("updated_date").text(f"{folder}/in/publishers")
+    orders.limit(9).select("value").write.text(f"{folder}/in/publishers/other=1")
+    orders.where("false").select("value").coalesce(1).write.text(
+        f"{folder}/in/publishers/updated_date=0000-00"
+    )
+    rows = []
+    for number, limit in ((1, "0"), (2, "1")):
+        report = command_line(
+            ["-i", f"{folder}/in", "-o", f"{folder}/out", "-e", "publishers, authors,nothing",
+             "-f", limit, "--pattern", "updated_date*/part*"]
+        )
+        rows.append((number, "files", report.files_processed, None))
+        for name, reported in report.rows.items():
+            rows.append((number, name, reported, spark.read.parquet(f"{folder}/out/{name}.parquet").count()))
+    scratch.remove(spark, folder)
+    return spark.createDataFrame(rows, "run int, what string, reported long, found long")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "works_citations": table("works_citations"),
     "works_topics": table("works_topics"),
@@ -259,5 +295,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_works_citations": job_table("works_citations", "works"),
     # No broadcast: duplicates are dropped by the shuffle join on ranks.
     "job_works_authorships": job_table("works_authorships", "works", broadcast_bytes=0),
+    "job_twice": job_twice,
     "job_authors_ids": job_table("authors_ids", "authors"),
 }
