@@ -38,11 +38,11 @@ def spark(tmp_path_factory):
 def lines(spark):
     """JSON texts (or values) as lines of one file."""
 
-    def make(*values, file_no=0):
+    def make(*values, file_key="f"):
         rows = [
-            (file_no, n, v if isinstance(v, str) else json.dumps(v)) for n, v in enumerate(values)
+            (file_key, n, v if isinstance(v, str) else json.dumps(v)) for n, v in enumerate(values)
         ]
-        return spark.createDataFrame(rows, "file_no long, line_no long, value string")
+        return spark.createDataFrame(rows, "file_key string, line_no long, value string")
 
     return make
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from scholarlake.functions.shape import JSON, NUMBER, TEXT, TRUTH, WHOLE
+from scholarlake.functions.shape import JSON, NUMBER, SELDOM_TEXT, TEXT, TRUTH, WHOLE
 
 MISSING = object()
 
@@ -29,6 +29,7 @@ def read(v, shape):
         return None
     good = {
         TEXT: isinstance(v, str),
+        SELDOM_TEXT: isinstance(v, str),
         WHOLE: is_int(v) and -(2**63) <= v < 2**63,
         NUMBER: is_int(v) or isinstance(v, float),
         TRUTH: isinstance(v, bool),

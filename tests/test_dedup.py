@@ -11,13 +11,13 @@ from scholarlake.operators.records import parse_records, table_rows
 
 
 def make(spark, rows):
-    """rows of (file_no, line_no, id, references)."""
+    """rows of (file_key, line_no, id, references)."""
     return spark.createDataFrame(
         [
-            (f, n, f'{{"id":"{i}","referenced_works":{[f"{f}-{n}"] * r}}}'.replace("'", '"'))
+            (f"{f:02}", n, f'{{"id":"{i}","referenced_works":{[f"{f}-{n}"] * r}}}'.replace("'", '"'))
             for f, n, i, r in rows
         ],
-        "file_no long, line_no long, value string",
+        "file_key string, line_no long, value string",
     )
 
 
@@ -41,12 +41,12 @@ def expected(rows):
 def staged(spark, rows, tmp_path, broadcast_bytes):
     table = TABLES["works_citations"]
     path = str(tmp_path / "records")
-    parse_records(make(spark, rows), [table]).withColumn("rank", dedup.rank()).write.parquet(path)
+    parse_records(make(spark, rows), [table]).drop("arrival").write.parquet(path)
     records = spark.read.parquet(path)
     dedup.duplicated_ids(records).write.parquet(str(tmp_path / "duplicated"))
     duplicated = spark.read.parquet(str(tmp_path / "duplicated"))
     return table_rows(
-        dedup.keep_first(records, duplicated, str(tmp_path / "winners"), broadcast_bytes), table
+        dedup.keep_first(records, duplicated, str(tmp_path / "losers"), broadcast_bytes), table
     )
 
 
@@ -65,7 +65,7 @@ def test_stored_forms(spark, tmp_path, broadcast_bytes):
     rows = sample(3)
     df = staged(spark, rows, tmp_path, broadcast_bytes)
     assert result(df) == expected(rows)
-    assert (tmp_path / "winners").exists() == (broadcast_bytes == 0)
+    assert (tmp_path / "losers").exists() == (broadcast_bytes == 0)
 
 
 def test_stored_form_without_duplicates(spark, tmp_path):
@@ -84,10 +84,3 @@ def test_order_of_lines_in_partitions_does_not_matter(spark):
 def test_children_of_dropped_records_do_not_appear(spark):
     rows = [(0, 0, "a", 0), (0, 1, "a", 2), (1, 0, "b", 1), (1, 1, "b", 2)]
     assert result(entity_table(make(spark, rows), "works_citations")) == [("b", "1-0")]
-
-
-def test_rank_follows_file_then_line(spark):
-    places = [(0, 0), (0, 5), (0, 2**33 - 1), (1, 0), (1, 7), (2**20, 3)]
-    df = spark.createDataFrame(places, "file_no long, line_no long").select(dedup.rank().alias("r"))
-    ranks = [r.r for r in df.collect()]
-    assert ranks == sorted(set(ranks))

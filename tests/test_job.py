@@ -8,7 +8,8 @@ import sys
 
 import pytest
 
-from scholarlake import ENTITIES, TABLES, entity_table, list_files, read_lines, run
+import scholarlake
+from scholarlake import ENTITIES, TABLES, entity_table, read_lines, run
 from scholarlake.__main__ import main
 from test_tables import AUTHOR, WORK
 
@@ -43,7 +44,7 @@ def test_all_entities(spark, snapshot, options):
     assert report.files_processed == 10
     assert report.citation_edges == 31 * 3
     for entity, tables in ENTITIES.items():
-        lines = read_lines(spark, list_files(spark, snapshot.root, entity))
+        lines = read_lines(spark, snapshot.root, entity)
         for table in tables:
             written = read(spark, snapshot.out, table.name)
             direct = entity_table(lines, table.name)
@@ -89,7 +90,7 @@ def test_nothing_to_read_gives_empty_tables(spark, snapshot):
     report = run(spark, snapshot.root, snapshot.out)
     assert report.files_processed == 0 and report.citation_edges == 0
     assert report.rows == dict.fromkeys(TABLES, 0)
-    lines = read_lines(spark, [])
+    lines = read_lines(spark, snapshot.root, "sources")
     for name in TABLES:
         written = read(spark, snapshot.out, name)
         assert written.dtypes == entity_table(lines, name).dtypes
@@ -101,8 +102,6 @@ def test_malformed_line_fails_the_run(spark, snapshot):
     snapshot.add("works", "2024-01-03", "part_000.gz", '{"id":"x"')
     with pytest.raises(Exception, match="MALFORMED"):
         run(spark, snapshot.root, snapshot.out, ["topics", "works"])
-    # The other entity is complete.
-    assert read(spark, snapshot.out, "topics").count() == 31
     assert not os.path.exists(f"{snapshot.out}/works.parquet")
 
 
@@ -123,3 +122,59 @@ def test_command_line(spark, snapshot, capsys):
         capture_output=True, text=True, cwd=os.path.dirname(os.path.dirname(__file__)), check=True,
     ).stdout
     assert "--files-per-entity" in help_text
+
+
+def test_session_settings_are_taken_back(spark, snapshot):
+    fill(snapshot)
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(key, "4321")
+    try:
+        run(spark, snapshot.root, snapshot.out, ["topics"])
+        assert spark.conf.get(key) == "4321"
+    finally:
+        scholarlake.configure(spark)
+
+
+def test_the_first_failure_ends_the_run(spark, snapshot):
+    fill(snapshot)
+    snapshot.add("topics", "2024-01-03", "part_000.gz", '{"id":"x"')
+    many = [{**WORK, "id": f"W{n}"} for n in range(3000)]
+    for n in range(8):
+        snapshot.add("works", f"2024-02-0{n}", "part_000.gz", *many)
+    with pytest.raises(Exception, match="MALFORMED"):
+        run(spark, snapshot.root, snapshot.out, ["topics", "works"])
+
+
+def test_the_stage_of_a_failed_run_is_named(spark, snapshot, tmp_path, caplog):
+    fill(snapshot)
+    snapshot.add("works", "2024-01-03", "part_000.gz", "]")
+    stage = tmp_path / "stage"
+    with pytest.raises(Exception, match="MALFORMED"):
+        run(spark, snapshot.root, snapshot.out, ["works"], stage_dir=str(stage))
+    assert str(stage) in caplog.text
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_splittable_files(spark, snapshot, options):
+    """Plain text is dealt out to several tasks; the first copy wins all the same."""
+    folder = f"{snapshot.root}/works/updated_date=2024"
+    os.makedirs(folder)
+    records = [
+        f'{{"id":"W{n % 5000}","title":"line {n}","referenced_works":["R{n}"]}}' for n in range(15_000)
+    ]
+    with open(f"{folder}/part_0.txt", "w") as f:
+        f.write("\n".join(records) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        lines = read_lines(spark, snapshot.root, "works", pattern="updated_date*/part_*")
+        assert lines.select("file_key").distinct().count() > 5
+        run(spark, snapshot.root, snapshot.out, ["works"], pattern="updated_date*/part_*", **options)
+        direct = entity_table(lines, "works")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = {f"W{n}": f"line {n}" for n in range(5000)}
+    for df in (read(spark, snapshot.out, "works"), direct):
+        rows = df.collect()
+        assert {r.id: r.title for r in rows} == want and len(rows) == 5000
+    edges = read(spark, snapshot.out, "works_citations").collect()
+    assert sorted(map(tuple, edges)) == sorted((f"W{n}", f"R{n}") for n in range(5000))

@@ -2,7 +2,7 @@
 
 import pytest
 
-from scholarlake import ENTITIES, TABLES, entity_table, list_files, read_lines
+from scholarlake import ENTITIES, TABLES, entity_table, read_lines
 from scholarlake.operators import dedup
 from scholarlake.operators.records import table_rows
 from scholarlake.plans.job import stage_records
@@ -16,14 +16,14 @@ def plan(df):
 @pytest.fixture
 def scanned(spark, snapshot):
     snapshot.add("works", "2024", "part_0.gz", {"id": "a"})
-    return read_lines(spark, list_files(spark, snapshot.root, "works"))
+    return read_lines(spark, snapshot.root, "works")
 
 
 @pytest.mark.parametrize("name", TABLES)
 def test_one_shuffle_one_parse(scanned, name):
     text = plan(entity_table(scanned, name))
     assert text.count("Exchange hashpartitioning") == 1
-    assert text.count("Exchange") == 2  # the other one broadcasts the file list
+    assert text.count("Exchange") == 1  # no file list is joined to the lines
     # The typed parse, and the strict one for lines that need it.
     assert text.count("from_json(") == 2
     # Every task drops its own later copies before the shuffle.
@@ -51,23 +51,22 @@ def stage(spark, scanned, tmp_path):
     return spark.read.parquet(path)
 
 
-def test_duplicates_are_found_from_two_columns(stage):
+def test_duplicates_are_found_from_narrow_columns(stage):
     text = plan(dedup.duplicated_ids(stage))
-    assert "ReadSchema: struct<id:string,rank:bigint>" in text
+    assert "ReadSchema: struct<id:string,file_key:string,line_no:bigint>" in text
     assert text.count("Exchange") == 1
-    # Both halves are hash aggregations, the first one before the shuffle.
-    assert text.count("HashAggregate") == 2 and "partial_min" in text
-    assert "SortAggregate" not in text
+    # The first half of the aggregation is before the shuffle.
+    assert text.index("partial_min") > text.index("Exchange") > text.index("functions=[min")
 
 
 def test_tables_from_the_stage_shuffle_nothing(spark, stage, tmp_path):
     path = str(tmp_path / "duplicated")
     dedup.duplicated_ids(stage).write.parquet(path)
-    kept = dedup.keep_first(stage, spark.read.parquet(path), str(tmp_path / "winners"))
+    kept = dedup.keep_first(stage, spark.read.parquet(path), str(tmp_path / "losers"))
     for table in ENTITIES["works"]:
         text = plan(table_rows(kept, table))
         assert "hashpartitioning" not in text
-        scan = next(part for part in text.split("ReadSchema: ")[1:] if "rank" in part)
+        scan = next(part for part in text.split("ReadSchema: ")[1:] if "line_no" in part)
         assert set(table.shape) <= {k for k in table.shape if k in scan}
         others = {k for t in ENTITIES["works"] for k in t.shape} - set(table.shape)
         assert not [k for k in others if f"{k}:" in scan.splitlines()[0]]
@@ -78,11 +77,27 @@ def test_many_duplicates_are_matched_by_rank(spark, stage, tmp_path):
     dedup.duplicated_ids(stage).write.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        kept = dedup.keep_first(stage, spark.read.parquet(path), str(tmp_path / "winners"), 0)
+        kept = dedup.keep_first(stage, spark.read.parquet(path), str(tmp_path / "losers"), 0)
         text = plan(table_rows(kept, TABLES["works_citations"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [rank" in text and "hashpartitioning(id" not in text
+    assert "SortMergeJoin [file_key" in text and "LeftAnti" in text
+    assert "hashpartitioning(id" not in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_files_are_sized_without_narrowing_the_scan(stage):
+    """Nothing coalesces the tasks that read the stage and cut out rows."""
+    text = plan(table_rows(stage, TABLES["works_citations"]).hint("rebalance"))
+    assert "Coalesce" not in text and "REBALANCE" in text
+    assert text.index("REBALANCE") < text.index("Generate") < text.index("FileScan")
+
+
+def test_the_file_list_is_not_collected(spark, snapshot, monkeypatch):
+    from scholarlake.sources import snapshot as source
+
+    snapshot.add("works", "2024", "part_0.gz", {"id": "a"})
+    monkeypatch.setattr(source, "list_files", None)
+    assert read_lines(spark, snapshot.root, "works").count() == 1
 
 
 def test_workload_scans_are_pruned(spark):

@@ -4,15 +4,17 @@ import pytest
 
 import __spark_entry__ as driver
 from oracle import compare
+from workloads.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert QUERIES.keys() <= driver.oracle_sql().keys() <= driver.queries().keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, name):
     assert compare(driver.queries()[name](spark, SF_DIR), driver.oracle_sql()[name], SF_DIR) > 0
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 import model
 from scholarlake import ENTITIES
-from scholarlake.functions.shape import JSON, NUMBER, TEXT, TRUTH, WHOLE
+from scholarlake.functions.shape import JSON, NUMBER, SELDOM_TEXT, TEXT, TRUTH, WHOLE
 from scholarlake.operators.records import parse_records, record_shape
 
 tricky_texts = st.sampled_from(
@@ -39,7 +39,7 @@ def values(shape, junk):
         )
     else:
         good = {
-            TEXT: texts, WHOLE: integers, NUMBER: floats | integers, TRUTH: st.booleans(),
+            TEXT: texts, SELDOM_TEXT: texts | integers, WHOLE: integers, NUMBER: floats | integers, TRUTH: st.booleans(),
             JSON: anything,
         }[shape]
     return st.one_of(*[good] * 8, st.none(), *([anything | floats] if junk and shape != JSON else []))

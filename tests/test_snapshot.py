@@ -3,15 +3,15 @@
 import gzip
 import os
 
-from scholarlake import entity_table, list_files, read_lines
+from scholarlake import count_files, entity_table, list_files, read_lines
 
 
 def names(files):
     return ["/".join(f.path.split("/")[-2:]) for f in files]
 
 
-def ids(spark, files, **options):
-    df = entity_table(read_lines(spark, files, **options), "authors")
+def ids(spark, snapshot, limit=0):
+    df = entity_table(read_lines(spark, snapshot.root, "authors", limit), "authors")
     return {r.id: r.display_name for r in df.collect()}
 
 
@@ -30,7 +30,9 @@ def test_selection_and_order(spark, snapshot):
         "updated_date=2024-01-02/part_000.gz",
     ]
     assert all(f.size > 0 for f in files)
-    assert ids(spark, files).keys() == {"a", "b", "c"}
+    assert ids(spark, snapshot).keys() == {"a", "b", "c"}
+    assert ids(spark, snapshot, 2).keys() == {"b", "c"}
+    assert count_files(spark, snapshot.root, "authors") == 3
     # Empty files do not count for the limit.
     assert names(list_files(spark, snapshot.root, "authors", 2)) == names(files)[:2]
     assert list_files(spark, snapshot.root, "authors", 99) == files
@@ -41,19 +43,24 @@ def test_paths_sort_by_components(spark, snapshot):
     snapshot.add("authors", "2024", "part_0.gz", {"id": "a", "display_name": "first"})
     files = list_files(spark, snapshot.root + "/", "authors")
     assert names(files) == ["updated_date=2024/part_0.gz", "updated_date=2024-1/part_0.gz"]
-    assert ids(spark, files) == {"a": "first"}
+    assert ids(spark, snapshot) == ids(spark, snapshot, 5) == {"a": "first"}
 
 
 def test_unusual_path_names(spark, snapshot):
     snapshot.add("authors", "2024 01%2é+x", "part_0 1.gz", {"id": "a"})
-    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a"}
+    assert ids(spark, snapshot).keys() == ids(spark, snapshot, 1).keys() == {"a"}
 
 
 def test_nothing_to_read(spark, snapshot):
-    assert list_files(spark, snapshot.root, "authors") == []
+    for limit in (0, 3):
+        assert list_files(spark, snapshot.root, "authors", limit) == []
+        assert ids(spark, snapshot, limit) == {}
+    assert count_files(spark, snapshot.root, "authors") == 0
     snapshot.empty_file("authors", "2024-01-01", "part_000.gz")
-    assert list_files(spark, snapshot.root, "authors") == []
-    assert ids(spark, []) == {}
+    for limit in (0, 3):
+        assert list_files(spark, snapshot.root, "authors", limit) == []
+        assert ids(spark, snapshot, limit) == {}
+    assert count_files(spark, snapshot.root, "authors") == 0
 
 
 def test_line_ends(spark, snapshot):
@@ -62,14 +69,14 @@ def test_line_ends(spark, snapshot):
     snapshot.add("authors", "2024", "part_1.gz", '{"id":\r"c",\r"display_name":"n"}')
     with gzip.open(f"{snapshot.root}/authors/updated_date=2024/part_2.gz", "wb") as f:
         f.write(b'{"id":"d"}')  # no line end at all
-    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a", "b", "c", "d"}
+    assert ids(spark, snapshot).keys() == {"a", "b", "c", "d"}
 
 
 def test_several_gzip_members(spark, snapshot):
     path = snapshot.add("authors", "2024", "part_0.gz", {"id": "a"})
     with open(path, "ab") as f:
         f.write(gzip.compress(b'{"id":"b"}\n'))
-    assert ids(spark, list_files(spark, snapshot.root, "authors")).keys() == {"a", "b"}
+    assert ids(spark, snapshot).keys() == {"a", "b"}
 
 
 def test_first_line_wins_within_and_across_files(spark, snapshot):
@@ -77,24 +84,26 @@ def test_first_line_wins_within_and_across_files(spark, snapshot):
     snapshot.add("authors", "2024-01-01", "part_1.gz", *records)
     later = [{"id": f"{n}", "display_name": "late"} for n in range(60)]
     snapshot.add("authors", "2024-01-02", "part_0.gz", *later)
-    files = list_files(spark, snapshot.root, "authors")
     want = {f"{n}": f"early {n}" if n < 50 else "late" for n in range(60)}
-    assert ids(spark, files) == want
-    # The same when files count as large and their lines are dealt out.
-    assert ids(spark, files, large=0) == want
-    assert ids(spark, files, large=files[1].size) == want
+    assert ids(spark, snapshot) == want
 
 
-def test_file_number_and_line_order(spark, snapshot):
+def test_file_and_line_order(spark, snapshot):
     for n in range(5):
         snapshot.add("authors", f"2024-0{n}", "part_0.gz", *({"id": f"{n}-{i:04}"} for i in range(300)))
-    lines = read_lines(spark, list_files(spark, snapshot.root, "authors"))
-    values = [r.value for r in lines.orderBy("file_no", "line_no").collect()]
+    lines = read_lines(spark, snapshot.root, "authors")
+    values = [r.value for r in lines.orderBy("file_key", "line_no").collect()]
     assert values == sorted(values) and len(values) == 1500
-    assert lines.columns == ["file_no", "line_no", "value"]
+    assert lines.columns == ["file_key", "line_no", "value"]
 
 
 def test_only_names_and_sizes_are_listed(spark, snapshot):
     path = snapshot.add("authors", "2024", "part_0.gz", {"id": "a"})
     files = list_files(spark, snapshot.root, "authors")
     assert files[0].size == os.path.getsize(path)
+
+
+def test_unusual_paths_sort_by_their_own_characters(spark, snapshot):
+    for n, date in enumerate(["2024 x", "2024%2", "2024+1", "2024-1", "2024é"]):
+        snapshot.add("authors", date, "part_0.gz", {"id": "a", "display_name": f"{n}"})
+    assert ids(spark, snapshot) == {"a": "0"}

@@ -1,6 +1,10 @@
 """Hand-written records and the rows they must give."""
 
+import json
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from scholarlake import entity_table
 
@@ -173,16 +177,65 @@ def test_lines_without_a_record(lines):
     assert got == ["5", "a", "b", "c", "d", "e"]
 
 
-@pytest.mark.parametrize(
-    "bad",
-    ['{"id":"a"', "nope", '{"id":"a","unread":nope}', "{'id':'a'}", '{"id":"a","works_count":NaN}',
-     '{"id":"a","works_count":01}', "[1", '{"id":"a",}', " x", '{"id":"a\nb"}', '{"id":"a"} x', '{"id":"a"},', '{"id":"a"}]', ' {"id":"a"} 5'],
-)
+BAD = [
+    '{"id":"a"', "nope", '{"id":"a","unread":nope}', "{'id':'a'}", '{"id":"a","works_count":NaN}',
+    '{"id":"a","works_count":01}', "[1", '{"id":"a",}', " x", '{"id":"a\nb"}',
+    # Text behind a value.
+    '{"id":"a"} x', '{"id":"a"},', '{"id":"a"}]', ' {"id":"a"} 5', '{"id":"W1"}{"id":"W2"}',
+    '{"id":"a"},{"id":"b"}', '{"id":"a"}}', '{"id":"a"}} x', '{"id":"a"}}]', '{"id":5} {"id":"b"}',
+    '{"id":"a"},"x":{"id":"b"}', '{"id":"a"}],"x":[{"id":"b"}', '{"id":"a"}]}', '{"id":"a"}]} {',
+    "[1] x", "1 2", '"x" y', "null null", "1]", "1,2", "null,", '{"id":"a"}null',
+    # Halves of surrogate pairs.
+    '{"id":"\\ud800"}', '{"id":"a","unread":"x\\uDC00y"}', '{"id":"\\ude00\\ud83d"}',
+]
+
+
+@pytest.mark.parametrize("bad", BAD)
 def test_malformed_line_fails(lines, bad):
     with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
         table(lines, "publishers", '{"id":"fine"}', bad)
 
 
+@settings(max_examples=25, deadline=None, derandomize=True,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.sampled_from(['{"id":"a"}', '{"id":5}', "[1]", "7", "null", '"s"', ' {"id":"b","works_count":"x"}']),
+       st.text(st.sampled_from(list('{}[],:"a1 \t')), max_size=8))
+def test_any_text_behind_a_value_fails(lines, value, tail):
+    """Whatever follows a value, unless it is white space or makes another value of it."""
+    try:
+        json.loads(value + tail)
+    except ValueError:
+        with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+            table(lines, "publishers", value + tail)
+    else:
+        table(lines, "publishers", value + tail)
+
+
+def test_whole_escapes_are_read(lines):
+    good = ['{"id":"\\ud83d\\ude00"}', '{"id":"a\\\\ud800"}', '{"id":"\\u00e9"}']
+    assert sorted(r[0] for r in table(lines, "publishers", *good)) == sorted(map(lambda t: json.loads(t)["id"], good))
+
+
+def test_bytes_that_are_not_utf8_fail(spark):
+    df = spark.createDataFrame([("f", 0, b'{"id":"T\xff1"}')], "file_key string, line_no long, b binary")
+    df = df.selectExpr("file_key", "line_no", "cast(b AS string) AS value")
+    with pytest.raises(Exception, match="UTF"):
+        rows(entity_table(df, "publishers"))
+
+
+@pytest.mark.parametrize(
+    ("name", "record"),
+    [
+        ("works_topics", '{"id":"W","topics":[{"id":"t","score":0.5},{"id":"u","score":1e999}]}'),
+        ("works_topics", '{"id":"W","topics":[{"id":7,"score":-1e999}]}'),
+        ("institutions_geo", '{"id":"I","geo":{"latitude":1e999}}'),
+    ],
+)
+def test_numbers_beyond_double_range_fail(lines, name, record):
+    with pytest.raises(Exception, match="MALFORMED number"):
+        table(lines, name, record)
+
+
 def test_required_columns_have_no_nulls(lines):
     records = [AUTHOR, WORK, {"id": "x"}]
     required = {
