@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -14,22 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Where it is unset, a local session gets a temporary folder; on a cluster
-    that is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="scholarlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+from scholarlake.sinks import scratch
 
 
 def shipped_code(spark: SparkSession) -> None:
@@ -53,17 +37,14 @@ def shipped_code(spark: SparkSession) -> None:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write a table into the shared folder and read it back.
+    """Write a table into the folder that the cluster shares and read it back.
 
     Cuts the lineage: what follows is recomputed from the files if executors are
     lost.  The files go when the session ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    path = scratch.new_folder(df.sparkSession, "llm")
     df.write.parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

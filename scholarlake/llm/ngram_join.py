@@ -230,13 +230,14 @@ def links(
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.min("size").alias("size"),
+            F.min("doc_id").alias("least_id"),
             F.first("bands").alias("bands"),
             # A row from which to read the set again.
             F.min(F.struct("k1", "k2")).alias("row"),
         )
     )
     groups = stored(candidate_groups(sets))
-    members = groups.join(sets.drop("bands"), "set")
+    members = groups.join(sets.drop("bands", "least_id"), "set")
     cut = (
         members.groupBy("group")
         .agg(
@@ -288,25 +289,21 @@ def links(
         compared.where("set <> root").select(F.col("set").alias("a"), F.col("root").alias("b"))
     )
     counted = compared.groupBy("set").agg(F.sum("links").alias("links"))
-    placed = (
-        sets.select("set", "documents")
+    placed = stored(
+        sets.select("set", "documents", "least_id")
         .join(counted, "set", "left")
         .join(classes.withColumnRenamed("node", "set"), "set", "left")
         .select(
             "set",
+            "least_id",
             (F.col("documents") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("root", "set").alias("class"),
         )
     )
-    placed = stored(placed)
-    with_class = signed.select("doc_id", "k1", "k2", "set").join(placed, "set", "left")
-    # Ids per class, combined in each task first.
-    class_ids = (
-        with_class.where("class IS NOT NULL")
-        .groupBy("class")
-        .agg(F.min("doc_id").alias("class_id"))
-    )
-    return with_class.join(class_ids, "class", "left").select(
+    class_ids = placed.groupBy("class").agg(F.min("least_id").alias("class_id"))
+    # Rows per set, whatever the number of its documents, until the last join.
+    of_sets = placed.drop("least_id").join(class_ids, "class")
+    return signed.select("doc_id", "k1", "k2", "set").join(of_sets, "set", "left").select(
         "doc_id",
         F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
