@@ -22,16 +22,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = edges
     least = both.groupBy("a").agg(F.min("b").alias("m")).select(
-        "a", F.least("a", "m").alias("m")
+        F.struct("a").alias("node"), F.least("a", "m").alias("m")
     )
     # Large: larger neighbours to the smallest.  Small: all smaller neighbours,
     # and the node itself.
-    joined = both.join(least, "a")
+    # The struct is another key than the one that was grouped by, so both sides
+    # are shuffled and Spark can split what a hub makes of the left one.
+    joined = both.join(least, F.struct("a") == F.col("node"))
     if large:
         linked = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
-            least.select("a", F.col("m").alias("b"))
+            least.select("node.a", F.col("m").alias("b"))
         )
     return linked.where("a > b").distinct()
 

@@ -131,7 +131,9 @@ def signatures(docs: DataFrame, bands: int, rows: int, n: int = WORDS) -> DataFr
 def candidate_groups(sets: DataFrame) -> DataFrame:
     """(set, group): sets that share bands, directly or through others."""
     banded = sets.select("set", F.posexplode("bands").alias("band", "hash"))
-    first = (
+    # Stored, so that the join has a shuffle on either side and Spark can split
+    # what a hot band makes of the left one.
+    first = stored(
         banded.groupBy("band", "hash")
         .agg(F.min("set").alias("first"), F.count(F.lit(1)).alias("sets"))
         .where("sets > 1")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarlake.llm.common import fresh, map_batches, row_key
+from scholarlake.llm.common import fresh, map_batches, row_key, stored
 from scholarlake.llm.tokens import Words, blocks, bytes_of, span_hashes, words
 
 SENTENCES = 3
@@ -112,7 +112,9 @@ def repeated(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) ->
     every = run_table(docs.select("text", k1.alias("k1"), k2.alias("k2")), sentences, least)
     # Combined in each task first: a run that fills a third of the input sends
     # one row per task.
-    firsts = (
+    # Stored, so that the join below has a shuffle on either side and Spark can
+    # split what a hot run makes of the left one.
+    firsts = stored(
         every.groupBy("h1", "h2")
         .agg(
             F.count(F.lit(1)).alias("times"),

@@ -38,6 +38,7 @@ BEGINNINGS = (4, 5, 6, 7)  # bytes
 RANGES = (0.4, 1.0)  # bounds of a voter's range, in occurrences per hundred words
 LIFT = 4.0  # how much more often than in other texts a voter must fire in toxic ones
 EVIDENCE = 40.0  # least log-likelihood ratio; millions of candidates are compared
+QUIET = 0.5  # how much a voter counts that does not fire
 TELLING = 15.0  # the same for the classifier's features, of which there are fewer
 L1 = 0.3
 BITS = 17
@@ -147,26 +148,31 @@ def label_model(votes: np.ndarray, first: np.ndarray, rounds: int = 10) -> np.nd
     """P(toxic) of each text from its votes alone.
 
     ``first`` (a guess per text) sets where the estimation starts, and the share
-    of toxic texts.  A voter that does not fire abstains; a text on which all
-    abstain is one more voter's: silence.  Each voter has its rate of firing in
-    either class.  Voters are correlated within the classes; what one adds to
-    the log-odds is divided by how much it agrees with all that fire with it, so
-    that copies of a voter count once together and independent ones in full.
+    of toxic texts.  Each voter has its rate of firing in either class, and a
+    text on which none fires is one more voter's: silence.  Voters are
+    correlated within the classes; what one adds to the log-odds is divided by
+    how much it agrees with all that fire with it, so that copies of a voter
+    count once together and independent ones in full.
     """
     fires = np.column_stack([votes, ~votes.any(axis=1)]).astype(np.float64)
     n, total = len(fires), float(first.sum())
     prior = np.log(total + 1) - np.log(n - total + 1)
     posterior = first.astype(np.float64)
     for _ in range(rounds):
-        total = posterior.sum()
-        on = (posterior @ fires + 0.5) / (total + 1)
-        off = ((1 - posterior) @ fires + 0.5) / (n - total + 1)
-        left = fires - np.outer(posterior, on) - np.outer(1 - posterior, off)
+        # The guess holds the estimation where few voters speak.
+        toxic = (posterior + first) / 2
+        total = toxic.sum()
+        on = (toxic @ fires + 0.5) / (total + 1)
+        off = ((1 - toxic) @ fires + 0.5) / (n - total + 1)
+        left = fires - np.outer(toxic, on) - np.outer(1 - toxic, off)
         scale = np.sqrt((left * left).sum(axis=0)).clip(1e-9)
         agreement = np.maximum(left.T @ left / np.outer(scale, scale), 0)
         np.fill_diagonal(agreement, 1)
         weight = fires / np.maximum(fires @ agreement, 1)
         odds = prior + weight @ (np.log(on) - np.log(off))
+        # Voters that do not fire, each by its share of all that it agrees with.
+        quiet = QUIET * (np.log1p(-on) - np.log1p(-off)) / agreement.sum(axis=0)
+        odds += (1 - fires[:, :-1]) @ quiet[:-1]
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return posterior
 
