@@ -18,12 +18,17 @@ of their own that conflict with each other through their cluster.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import insort
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholarlake.llm.common import map_batches, stored
+from scholarlake.llm.tokens import bytes_of
+
 CAPACITY = 2048  # words
 GROUP_SIZE = 4096  # documents
 GROUP_BITS = 20  # of a bin's number; the rest is the group's
@@ -76,18 +81,28 @@ def best_fit(
     return bins
 
 
-def n_words(text: str = "text") -> Column:
-    """Words of ASCII white space, 0 for null."""
-    stripped = F.regexp_replace(F.col(text), r"[ \t-\r]+", " ")
-    # Words are the spaces between them and one more.
-    inner = F.trim(stripped)
-    spaces = F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit("")))
-    return F.coalesce(F.when(F.length(inner) > 0, spaces + 1), F.lit(0)).cast("long")
+def measured(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, length, cluster) of (doc_id, text, source).
 
+    The length is in words of ASCII white space.  A cluster is a hash of the text
+    without white space, lower-cased in ASCII: copies, up to case and layout.
+    """
 
-def cluster_of(text: str = "text") -> Column:
-    """A hash of the lower-cased text without white space: exact copies, up to case and layout."""
-    return F.md5(F.regexp_replace(F.lower(F.col(text)), r"[ \t-\r]+", ""))
+    def measure(batch: pa.RecordBatch) -> dict:
+        lengths, clusters = [], []
+        for text in bytes_of(batch.column("text")):
+            words = text.lower().split()
+            lengths.append(len(words))
+            clusters.append(hashlib.blake2b(b"".join(words), digest_size=16).digest())
+        kept = {c: batch.column(c) for c in ("doc_id", "source")}
+        return kept | {"length": lengths, "cluster": clusters}
+
+    return map_batches(
+        docs.select("doc_id", F.col("source").cast("string"), "text"),
+        measure,
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, source string,"
+        " length bigint, cluster binary",
+    )
 
 
 def packed(
@@ -160,7 +175,4 @@ def packed_documents(
     docs: DataFrame, capacity: int = CAPACITY, group_size: int = GROUP_SIZE
 ) -> DataFrame:
     """``packed`` for (doc_id, text, source): length in words, clusters of equal texts."""
-    items = docs.select(
-        "doc_id", n_words().alias("length"), F.col("source").cast("string"), cluster_of().alias("cluster")
-    )
-    return packed(items, capacity, group_size)
+    return packed(stored(measured(docs)), capacity, group_size)
