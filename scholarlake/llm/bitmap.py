@@ -27,10 +27,10 @@ def bitmap(hashes: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     rows = (
         places.groupBy(F.shiftright("place", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("set"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["set"].to_numpy(np.int64).view(np.uint64)
+    out[rows["word"].to_numpy()] = rows["set"].to_numpy().view(np.uint64)
     return out
 
 

@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 from scholarlake.sinks import scratch
 
+SLICE_ROWS = 512
+
 
 def shipped_code(spark: SparkSession) -> None:
     """Send this package to the workers, once per session.
@@ -80,19 +82,25 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")).cast("long") % modulus
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for low in range(0, batch.num_rows, SLICE_ROWS):
+        yield batch.slice(low, SLICE_ROWS)
+
+
 def map_batches(
     df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
 ) -> DataFrame:
     """Arrow batches through ``fn``, which returns the columns of ``schema``.
 
-    A task holds one batch at a time (spark.sql.execution.arrow.maxRecordsPerBatch).
+    A batch (spark.sql.execution.arrow.maxRecordsPerBatch rows) is handed on in
+    slices, so that a worker holds the Python objects of few rows at a time.
     """
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(fn(batch), schema=arrow)
+            for part in slices(batch):
+                yield pa.RecordBatch.from_pydict(fn(part), schema=arrow)
 
     return df.mapInArrow(over, schema)
 

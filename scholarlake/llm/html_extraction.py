@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarlake.llm.common import map_batches
+from scholarlake.llm.common import map_batches, slices
 
 # Names of HTML.  What they stand for is in the comments.
 # Their content is no text.
@@ -246,7 +246,7 @@ def stop_words(pages: DataFrame, most: int = STOP_WORDS) -> frozenset[str]:
     """The words of at most four letters that most pages have in their paragraphs."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             counts: dict[str, int] = {}
             for page in batch.column("html").to_pylist():
                 seen: set[str] = set()

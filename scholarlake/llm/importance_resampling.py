@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.llm.bitmap import bitmap, found
-from scholarlake.llm.common import map_batches, row_key, stored
+from scholarlake.llm.common import map_batches, row_key, slices, stored
 from scholarlake.llm.tokens import SPACED, Words, blocks, bytes_of, words
 
 BITS = 16
@@ -55,7 +55,7 @@ def counted(texts: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << BITS), np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             raw = bytes_of(batch.column("text"))
             second = batch.column("half").to_numpy() == 1
             for low, high in blocks(raw):
@@ -73,10 +73,11 @@ def counted(texts: DataFrame) -> np.ndarray:
         .mapInArrow(count, "bucket bigint, n0 bigint, n1 bigint")
         .groupBy("bucket")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros((2, 1 << BITS), np.int64)
-    out[:, rows["bucket"].to_numpy(np.int64)] = rows[["n0", "n1"]].to_numpy(np.int64).T
+    for half in (0, 1):
+        out[half, rows["bucket"].to_numpy()] = rows[f"n{half}"].to_numpy()
     return out
 
 

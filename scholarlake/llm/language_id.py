@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarlake.llm.common import fresh, map_batches, remainder
+from scholarlake.llm.common import fresh, map_batches, remainder, slices
 from scholarlake.llm.tokens import BLOCK_BYTES, blocks
 
 UNKNOWN = "und"
 BITS = 14
 SIZES = (1, 2, 3, 4)
-SAMPLE = 1500  # texts per language
+SAMPLE = 800  # texts per language
 LEAST_SCORE = 0.4  # below, a text is in none of the learned languages
 BLOCK_TEXTS = 16
 
@@ -133,7 +133,7 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, have = 0, np.zeros(1 << BITS, np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for begin, end, part in text_blocks(batch.column("text")):
                 total += end - begin
                 have += np.bincount(counts(part)[1], minlength=1 << BITS)
@@ -148,10 +148,10 @@ def document_frequencies(texts: DataFrame) -> tuple[int, np.ndarray]:
         .mapInArrow(count, "bucket bigint, n bigint")
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros((1 << BITS) + 1, np.int64)  # the last one is bucket -1
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return int(out[-1]), out[:-1]
 
 
@@ -186,6 +186,14 @@ def follow_the_regularised_leader(
     return weights(np.arange(features))
 
 
+def with_constant(at: np.ndarray, x: np.ndarray, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """A sparse vector with one more feature, which is always 1; small in memory."""
+    return (
+        np.append(at, np.int32(last)).astype(np.int32),
+        np.append(x, np.float32(1)).astype(np.float32),
+    )
+
+
 def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
     """The temperature that makes the labels likeliest."""
     if not len(labels):
@@ -239,8 +247,9 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     rows = (
         map_batches(chosen, sparse, "lang string, part bigint, at binary, n binary")
         .limit(2 * sample * len(languages))
-        .toPandas()
-        .sort_values(["part", "lang"], ignore_index=True, kind="stable")
+        .toArrow()
+        .sort_by([(c, "ascending") for c in ("part", "lang", "n", "at")])
+        .to_pydict()
     )
     features = (1 << BITS) + 1
     vectors, labels = [], []
@@ -248,10 +257,10 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
         at = np.frombuffer(at, np.int32)
         x = np.log1p(np.frombuffer(n, np.int32)) * idf[at]
         norm = np.sqrt((x * x).sum())
-        vectors.append((np.append(at, features - 1), np.append(x / (norm or 1), 1.0)))
+        vectors.append(with_constant(at, x / (norm or 1), features - 1))
         labels.append(languages.index(lang))
     labels = np.array(labels, np.int64)
-    held = (rows["part"] == 0).to_numpy()
+    held = np.array(rows["part"]) == 0
     if held.all():
         held[:] = False
     fitted = np.flatnonzero(~held)

@@ -255,15 +255,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field | N
         map_batches(
             chosen, read, "doc_id bigint, label int, features binary, hashes binary"
         )
-        .toPandas()
-        .sort_values(["doc_id", "label"], ignore_index=True, kind="stable")
+        .where(F.length("hashes") > 0)
+        .toArrow()
+        .sort_by([("doc_id", "ascending"), ("features", "ascending")])
+        .to_pydict()
     )
-    rows = rows[rows["hashes"].map(len) > 0]
-    if not len(rows):
+    if not rows["doc_id"]:
         return None
     hashes_of = [np.frombuffer(hashes, np.uint64) for hashes in rows["hashes"]]
     documents_with = Counter(h for hashes in hashes_of for h in set(hashes.tolist()))
-    common = max(3, COMMON_LINE * len(rows))
+    common = max(3, COMMON_LINE * len(hashes_of))
     sequences = []
     for label, features, hashes in zip(rows["label"], rows["features"], hashes_of, strict=True):
         rare = np.array([documents_with[h] < common for h in hashes.tolist()])

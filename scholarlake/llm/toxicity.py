@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.llm.common import labelled_sample, map_batches, remainder
-from scholarlake.llm.language_id import follow_the_regularised_leader
+from scholarlake.llm.language_id import follow_the_regularised_leader, with_constant
 from scholarlake.llm.tokens import Words, blocks, bytes_of, words
 
 SAMPLE = 2000  # texts of either label
@@ -137,11 +137,11 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
         .agg(F.max("evidence").alias("evidence"), F.min("hash").alias("hash"))
         .orderBy(F.desc("evidence"), "hash", "level")
         .limit(most)
-        .toPandas()
+        .toArrow()
     )
-    hashes = best["hash"].to_numpy(np.int64).view(np.uint64)
+    hashes = best["hash"].to_numpy().view(np.uint64)
     order = np.argsort(hashes, kind="stable")
-    return Voters(hashes[order], best["level"].to_numpy(np.int64)[order])
+    return Voters(hashes[order], best["level"].to_numpy()[order])
 
 
 def label_model(votes: np.ndarray, first: np.ndarray, rounds: int = 10) -> np.ndarray:
@@ -232,20 +232,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
 
     rows = (
         map_batches(chosen, read, "doc_id bigint, label int, votes binary, at binary, value binary")
-        .toPandas()
-        .sort_values(["doc_id", "label"], ignore_index=True, kind="stable")
+        .toArrow()
+        .sort_by([("doc_id", "ascending"), ("at", "ascending")])
+        .to_pydict()
     )
     votes = np.stack([np.frombuffer(v, bool) for v in rows["votes"]])
-    posterior = label_model(votes, rows["label"].to_numpy()) if votes.shape[1] else (
-        rows["label"].to_numpy(np.float64)
-    )
+    first = np.array(rows["label"])
+    posterior = label_model(votes, first) if votes.shape[1] else first.astype(np.float64)
     size = (2 << BITS) + 1
     vectors = [
-        (
-            np.append(np.frombuffer(at, np.int32), size - 1),
-            np.append(np.frombuffer(value, np.float32), 1.0),
-        )
-        for at, value in zip(rows["at"], rows["value"], strict=True)
+        with_constant(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32), size - 1)
+        for at, value in zip(rows.pop("at"), rows.pop("value"), strict=True)
     ]
     vectors = told_apart(vectors, posterior, size)
     held = np.array([zlib.crc32(b"part" + str(i).encode()) % 5 == 0 for i in rows["doc_id"]])
@@ -261,7 +258,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     share = labels.where(learnable & F.col("toxic").isNotNull()).agg(F.avg("toxic")).first()[0]
     counts = posterior * share / found[1] + (1 - posterior) * (1 - share) / found[0]
     told = np.array([x @ weights[at] for at, x in vectors])
-    scale, shift = calibrated(told[held], posterior[held], counts[held] * len(rows))
+    scale, shift = calibrated(told[held], posterior[held], counts[held] * len(held))
     return Model((weights[:-1] * scale).astype(np.float32), float(weights[-1] * scale + shift))
 
 
