@@ -1,0 +1,23 @@
+"""Rows and folders that several tests use."""
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+SF1 = "/root/testdata/sf0.1"
+
+LONG = " ".join(f"word{i % 977} of{i % 13}" + ("." if i % 9 == 0 else "") for i in range(60_000))
+
+# Null id, null text, no words, ties, repeated rows, one id for two texts, a very long text.
+ODD = [
+    (1, None, None, None),
+    (2, "", "en", "a"),
+    (3, "  \n\t ...", "en", "a"),
+    (None, "a row without an id but with a few words in it", "en", "a"),
+    (4, "one", "en", None),
+    (5, LONG, "en", "a"),
+    (6, "the same text twice, under two ids and once more as a repeated row", "en", "b"),
+    (7, "the same text twice, under two ids and once more as a repeated row", "en", "b"),
+    (7, "the same text twice, under two ids and once more as a repeated row", "en", "b"),
+    (8, "first text of an id that has two of them", "en", "b"),
+    (8, "second text of an id that has two of them", "de", "b"),
+    (9, "Éa 日本語 \U0001f600 ẞ \x00 nul", "fr", "c"),
+]

@@ -1,0 +1,119 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from samples import ODD, SF001
+from scholarlake.llm import ngram_join as nj
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
+
+
+def grams(text, n=5):
+    w = WORD.findall((text or "").translate(LOWER))
+    if len(w) < n:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+
+
+def plain(rows, similarity=0.8):
+    """(doc_id, class_id, n_links) by comparing all that share an n-gram."""
+    sets = [grams(text) for _, text, *_ in rows]
+    holds = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            holds[g].append(i)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for i, s in enumerate(sets):
+        for j, both in Counter(j for g in s for j in holds[g] if j != i).items():
+            if both / (len(s) + len(sets[j]) - both) >= similarity:
+                links[i] += 1
+                root[find(i)] = find(j)
+    ids = defaultdict(list)
+    for i, (doc_id, *_) in enumerate(rows):
+        ids[find(i)].append(doc_id)
+    least = {r: min((x for x in own if x is not None), default=None) for r, own in ids.items()}
+    return sorted(((rows[i][0], least[find(i)], links[i]) for i in range(len(rows))), key=repr)
+
+
+def near_copies(n, words=120, changed=4, seed=0, first=1000):
+    rng = random.Random(seed)
+    base = [f"b{seed}w{i}" for i in range(words)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.randint(0, changed)):
+            own[rng.randrange(words)] = f"x{rng.randrange(10**6)}"
+        out.append((first + i, " ".join(own), "en", "a"))
+    return out
+
+
+def result(df, **options):
+    got = nj.links(df, **options).collect()
+    return sorted(((r.doc_id, r.class_id, r.n_links) for r in got), key=repr)
+
+
+def test_documents(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert result(docs) == plain(rows)
+
+
+@pytest.mark.parametrize("block_sets", [nj.BLOCK_SETS, 7])
+def test_groups_of_near_copies_lose_no_link(table, block_sets):
+    rows = [*ODD, *near_copies(90), *near_copies(30, changed=12, seed=1, first=2000)]
+    rows += [(3000 + i, rows[20][1].upper() + "!", "en", "a") for i in range(25)]
+    assert result(table(rows), block_sets=block_sets) == plain(rows)
+
+
+def test_one_of_each(table):
+    rows = [*ODD, *near_copies(12)]
+    df = table(rows)
+    kept = nj.one_of_each(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(set(got)) == len(got)
+    classes = {c for i, c, n in plain(rows) if grams(dict((r[0], r[1]) for r in rows).get(i))}
+    without_words = [(i, t) for i, t, *_ in rows if not grams(t)]
+    assert {i for i, t in got if grams(t)} >= classes - {None}
+    assert all(x in got for x in without_words)
+    # One document for each set of linked ones.
+    linked = plain(rows)
+    assert sum(1 for i, t in got if (i, t) in {(r[0], r[1]) for r in near_copies(12)}) == len(
+        {c for i, c, _ in linked if i is not None and i >= 1000}
+    )
+
+
+def test_empty_table(table):
+    assert nj.links(table([])).count() == 0
+    assert nj.one_of_each(table([])).count() == 0
+
+
+def test_bands_reach_the_recall():
+    for similarity, recall in ((0.8, 0.9999), (0.7, 0.99), (0.9, 0.999)):
+        bands, rows = nj.bands_and_rows(similarity, recall)
+        assert 1 - (1 - similarity**rows) ** bands >= recall
+        more = rows + 1
+        needed = np.ceil(np.log1p(-recall) / np.log1p(-(similarity**more)))
+        assert needed * more > nj.MAX_HASHES
+    with pytest.raises(ValueError):
+        nj.bands_and_rows(0.1, 0.9999, 20)
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(0)
+    grams = [np.unique(rng.integers(0, 60 + 40 * i, 50).astype(np.uint64)) for i in range(40)]
+    got = nj.shared_counts(grams)
+    for i in range(40):
+        for j in range(40):
+            assert got[i, j] == len(np.intersect1d(grams[i], grams[j]))

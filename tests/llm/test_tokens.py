@@ -1,0 +1,62 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from scholarlake.llm import tokens
+
+ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
+
+TEXTS = st.lists(
+    st.text(st.sampled_from(list("aAbZ09.,! \n\t\x00\x0b\x1cé日\U0001f600")), max_size=40), max_size=6
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_words_are_those_of_the_patterns(texts):
+    raw = [t.encode() for t in texts] or [b""]
+    texts = texts or [""]
+    for rule, pattern, lower in ((tokens.ALNUM, ALNUM, True), (tokens.SPACED, SPACED, False)):
+        w = tokens.words(raw, rule)
+        for i, text in enumerate(texts):
+            expected = pattern.findall(text.translate(LOWER) if lower else text)
+            a, b = w.first[i : i + 2]
+            source = w.kept if lower else w.raw
+            got = [source[s:e].tobytes().decode() for s, e in zip(w.start[a:b], w.end[a:b])]
+            assert got == expected
+        assert w.counts.sum() == len(w.hash)
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS)
+def test_equal_words_and_only_these_have_equal_hashes(texts):
+    w = tokens.words([t.encode() for t in texts] or [b""])
+    spelled = [w.kept[s:e].tobytes() for s, e in zip(w.start, w.end)]
+    assert len(set(zip(spelled, w.hash.tolist()))) == len(set(spelled)) == len(set(w.hash.tolist()))
+
+
+def test_shingles_stay_inside_a_text():
+    w = tokens.words([b"a b c", b"a b", b"", b"x a b c"])
+    hashes, begin = w.shingles(3)
+    assert begin.tolist() == [0, 5, 6]
+    assert hashes[0] == hashes[2] != hashes[1]
+
+
+def test_hashes_do_not_depend_on_the_block():
+    long = " ".join(f"w{i}" for i in range(400_000)).encode()
+    alone = tokens.words([b"w5 w6"]).hash
+    w = tokens.words([long])
+    assert np.array_equal(w.hash[5:7], alone)
+    assert np.array_equal(tokens.span_hashes(w.hash, np.array([5]), np.array([7])),
+                          tokens.span_hashes(alone, np.array([0]), np.array([2])))
+
+
+def test_blocks_cover_all_texts():
+    texts = [b"x" * n for n in (0, 10, 300, 5, 0, 0, 1000, 2)]
+    ranges = list(tokens.blocks(texts, 100))
+    assert [i for low, high in ranges for i in range(low, high)] == list(range(len(texts)))
+    assert list(tokens.blocks([])) == []
