@@ -72,6 +72,9 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Settings of a run: files are sized, not made as many as there are cores.
+RUN_SETTINGS = {**SETTINGS, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Set what lazy tables need; ``run`` does it by itself and takes it back."""
@@ -82,8 +85,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 @contextmanager
 def _configured(spark: SparkSession) -> Iterator[None]:
-    before = {key: spark.conf.get(key, None) for key in SETTINGS}
-    configure(spark)
+    before = {key: spark.conf.get(key, None) for key in RUN_SETTINGS}
+    for key, value in RUN_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:

@@ -11,6 +11,8 @@ import pytest
 import scholarlake
 from scholarlake import ENTITIES, TABLES, entity_table, read_lines, run
 from scholarlake.__main__ import main
+from scholarlake.plans import job
+from scholarlake.sinks.parquet import write_table
 from test_tables import AUTHOR, WORK
 
 
@@ -178,3 +180,20 @@ def test_splittable_files(spark, snapshot, options):
         assert {r.id: r.title for r in rows} == want and len(rows) == 5000
     edges = read(spark, snapshot.out, "works_citations").collect()
     assert sorted(map(tuple, edges)) == sorted((f"W{n}", f"R{n}") for n in range(5000))
+
+
+def test_file_sizes(spark, tmp_path):
+    """Small parts become one file, large ones several; none is made by fewer tasks before that."""
+    many = spark.range(200_000, numPartitions=50).selectExpr("id", "uuid() AS name")
+    path = str(tmp_path / "t")
+    files = f"{path}/*.parquet"
+    with job._configured(spark):
+        assert write_table(many, path, rebalance=True) == 200_000
+        assert len(glob.glob(files)) == 1
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        try:
+            write_table(many, path, rebalance=True)
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = sorted(os.path.getsize(f) for f in glob.glob(files))
+    assert len(sizes) > 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
