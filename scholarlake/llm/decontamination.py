@@ -64,7 +64,7 @@ def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def places(docs: DataFrame, known: np.ndarray, sizes: list[int], window: int) -> DataFrame:
-    """(doc_id, k1, k2, n_words, places): where shingles of these sizes may be the benchmark's.
+    """(doc_id, k1, k2, n_words, places): where these shingles may be the benchmark's.
 
     A place has its shingle's hash, the number of the shingle's first word, the
     words that a window around it could have, and how many of them come before.
@@ -111,7 +111,8 @@ def places(docs: DataFrame, known: np.ndarray, sizes: list[int], window: int) ->
         docs,
         scan,
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()},"
-        " k1 bigint, k2 bigint, n_words bigint, places array<struct<shingle: bigint, place: int, before: int, around: string>>",
+        " k1 bigint, k2 bigint, n_words bigint,"
+        " places array<struct<shingle: bigint, place: int, before: int, around: string>>",
     )
 
 
@@ -139,7 +140,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         "k1", "k2", "n_words", "at.*"
     )
     documents_with = (
-        held.select(F.explode(F.expr("array_distinct(transform(places, p -> p.shingle))")).alias("shingle"))
+        held.select(F.explode(F.array_distinct("places.shingle")).alias("shingle"))
         .groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("documents"))
     )

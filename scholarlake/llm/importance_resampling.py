@@ -152,7 +152,11 @@ def threshold(keys: DataFrame, k: int) -> float:
         place = F.least(F.lit(RANGES - 1), F.floor((F.col("key") - low) / width))
         ranges = sorted(
             left.groupBy(place.alias("range"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+            .agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("key").alias("low"),
+                F.max("key").alias("high"),
+            )
             .collect(),
             key=lambda r: -r["range"],
         )

@@ -217,7 +217,8 @@ def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from (doc_id, text, lang); rows with a null in them are not used."""
     usable = labelled.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    per_language = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    per_language = {r.lang: r.n for r in counted.collect()}
     languages = sorted(per_language)
     if not languages:
         return None

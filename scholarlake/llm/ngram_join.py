@@ -307,7 +307,9 @@ def links(
     of_sets = placed.drop("least_id").join(class_ids, "class")
     return signed.select("doc_id", "k1", "k2", "set").join(of_sets, "set", "left").select(
         "doc_id",
-        F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("class").isNull(), F.col("doc_id"))
+        .otherwise(F.col("class_id"))
+        .alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         "class",
         "k1",

@@ -60,7 +60,7 @@ def sentence_ends(w: Words) -> np.ndarray:
 
 
 def runs(w: Words, sentences: int, least: int):
-    """(first sentence, last sentence, begin and end word) of all runs, and all sentences' bounds."""
+    """First and last sentence of every run; begin and end word of every sentence."""
     end = np.flatnonzero(sentence_ends(w)) + 1
     begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
     count = len(end)

@@ -203,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     chosen = labelled_sample(docs, labels, "toxic", sample, learnable).select(
         "doc_id", "text", "label"
     )
-    found = {r.label: r.n for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    found = {r.label: r.n for r in counted.collect()}
     if len(found) < 2:
         return None
     voters = mined(chosen.select("text", "label"), (found[0], found[1]))
