@@ -68,7 +68,8 @@ def trusted(value: Column, shape: Shape) -> Column:
 def infinite(value: Column, shape: Shape) -> Column | None:
     """Whether a number in a value was beyond double range; None without numbers."""
     found = None
-    for leaf, many in zip(*(_leaves(value, shape, NUMBER, told) for told in (False, True)), strict=True):
+    leaves, in_arrays = (_leaves(value, shape, NUMBER, told) for told in (False, True))
+    for leaf, many in zip(leaves, in_arrays, strict=True):
         for limit in (float("inf"), float("-inf")):
             own = F.array_contains(leaf, F.lit(limit)) if many else leaf == F.lit(limit)
             found = own if found is None else found | own

@@ -115,13 +115,16 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
     other = F.parse_json(F.concat(F.lit("["), line, F.lit(f',"{ours}"]')))
     is_other = js.text(js.element(other, 1)) == ours
     malformed = F.raise_error(F.concat(F.lit("MALFORMED line, not one JSON value: "), line))
-    both = judged.withColumn("json", F.when(second & is_object, again)).withColumn(
-        "json",
-        F.when(F.col("json").isNotNull(), F.when(one_value(F.col("json")), F.col("json")[0]).otherwise(malformed))
+    both = judged.withColumn("again", F.when(second & is_object, again))
+    found = F.col("again")
+    checked = (
+        F.when(found.isNotNull() & one_value(found), found[0])
+        .when(found.isNotNull(), malformed)
         .when(~second | is_object | line.rlike(BLANK_LINE), F.lit(None))
         .when(F.coalesce(is_other, F.lit(False)), F.lit(None))
-        .otherwise(malformed),
+        .otherwise(malformed)
     )
+    both = both.withColumn("json", checked)
     json = F.col("json")
 
     def field(key: str) -> Column:

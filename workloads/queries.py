@@ -153,7 +153,10 @@ def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             records.agg(*(total.cast("long").alias(name) for name, total in sums.items())).select(
                 F.inline(
                     F.array(
-                        *(F.struct(F.lit(name).alias("counted"), F.col(name).alias("n")) for name in sums)
+                        *(
+                            F.struct(F.lit(name).alias("counted"), F.col(name).alias("n"))
+                            for name in sums
+                        )
                     )
                 )
             )
@@ -165,7 +168,10 @@ def entity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_snapshot(lines: DataFrame, path: str) -> None:
-    """Gzip files in one directory per month of file_key, a number here; path order is line order."""
+    """Gzip files in one directory per month of file_key, here a number of days.
+
+    The order of their paths is that of the lines.
+    """
     month = F.date_format(F.date_from_unix_date(F.col("file_key").cast("int")), "yyyy-MM")
     (
         lines.withColumn("updated_date", month)
@@ -264,7 +270,8 @@ def job_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         rows.append((number, "files", report.files_processed, None))
         for name, reported in report.rows.items():
-            rows.append((number, name, reported, spark.read.parquet(f"{folder}/out/{name}.parquet").count()))
+            there = spark.read.parquet(f"{folder}/out/{name}.parquet").count()
+            rows.append((number, name, reported, there))
     scratch.remove(spark, folder)
     return spark.createDataFrame(rows, "run int, what string, reported long, found long")
 
