@@ -9,7 +9,7 @@ then calibrated with one temperature on texts that were not trained on.
 
 Document frequencies are counted over all training texts.  The regression is
 fitted on a sample of at most about ``sample`` texts per language, chosen by
-hash, the only bound here; their n-gram counts are collected, nothing else is.
+hash, the only bound here, by one task; only weights and counts are collected.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text
 if there is nothing to learn from.  Repeated rows get equal results; in
@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from scholarlake.llm.common import fresh, map_batches, remainder, slices
 from scholarlake.llm.tokens import BLOCK_BYTES, blocks
@@ -244,34 +246,49 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
             values += [part.tobytes() for part in np.split(times.astype(np.int32), cuts)]
         return {"lang": batch.column("lang"), "part": batch.column("part"), "at": at, "n": values}
 
-    # The limit holds the bound where many rows share an id.
-    rows = (
-        map_batches(chosen, sparse, "lang string, part bigint, at binary, n binary")
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, schema=arrow)
+        weights, temperature = fitted(rows, languages, idf)
+        yield pa.RecordBatch.from_pydict(
+            {"weights": [weights.tobytes()], "temperature": [temperature]}
+        )
+
+    schema = "lang string, part bigint, at binary, n binary"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    # The limit holds the bound where many rows share an id.  One task fits the
+    # model; only the weights come to the driver.
+    found = (
+        map_batches(chosen, sparse, schema)
         .limit(2 * sample * len(languages))
-        .toArrow()
-        .sort_by([(c, "ascending") for c in ("part", "lang", "n", "at")])
-        .to_pydict()
+        .coalesce(1)
+        .mapInArrow(fit, "weights binary, temperature double")
+        .first()
     )
+    if found is None:
+        return None
+    weights = np.frombuffer(found.weights, np.float32).reshape(-1, len(languages))
+    return Model(languages, idf, weights, found.temperature)
+
+
+def fitted(rows: pa.Table, languages: list[str], idf: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and temperature from (lang, part, at, n); part 0 calibrates."""
+    rows = rows.sort_by([(c, "ascending") for c in ("part", "lang", "n", "at")])
     features = (1 << BITS) + 1
-    vectors, labels = [], []
-    for lang, at, n in zip(rows["lang"], rows["at"], rows["n"], strict=True):
-        at = np.frombuffer(at, np.int32)
-        x = np.log1p(np.frombuffer(n, np.int32)) * idf[at]
+    vectors = []
+    for at, n in zip(rows["at"], rows["n"], strict=True):
+        at = np.frombuffer(at.as_py(), np.int32)
+        x = np.log1p(np.frombuffer(n.as_py(), np.int32)) * idf[at]
         norm = np.sqrt((x * x).sum())
         vectors.append(with_constant(at, x / (norm or 1), features - 1))
-        labels.append(languages.index(lang))
-    labels = np.array(labels, np.int64)
-    held = np.array(rows["part"]) == 0
-    if held.all():
-        held[:] = False
-    fitted = np.flatnonzero(~held)
+    labels = np.array([languages.index(lang) for lang in rows["lang"].to_pylist()], np.int64)
+    held = rows["part"].to_numpy() == 0
+    trained = np.flatnonzero(~held) if not held.all() else np.arange(len(held))
     weights = follow_the_regularised_leader(
-        [vectors[i] for i in fitted], np.eye(len(languages))[labels[fitted]], features
+        [vectors[i] for i in trained], np.eye(len(languages))[labels[trained]], features
     )
-    held = np.flatnonzero(held)
+    held = np.flatnonzero(held) if len(trained) < len(held) else np.zeros(0, np.int64)
     scores = np.array([x @ weights[at] for at, x in (vectors[i] for i in held)])
-    temperature = calibrated(scores, labels[held])
-    return Model(languages, idf, weights.astype(np.float32), temperature)
+    return weights.astype(np.float32), calibrated(scores, labels[held])
 
 
 def predict(
