@@ -92,7 +92,8 @@ def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
         return pd.Series(found(known.value, hashes.to_numpy(np.int64).view(np.uint64)))
 
     likely = docs.where(passes(F.xxhash64(F.col("doc_id").cast("long"))))
-    return likely.join(ids, "doc_id", "left_semi")
+    # The same plan at every size, with a shuffle on either side.
+    return likely.join(ids.hint("merge"), "doc_id", "left_semi")
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
