@@ -21,6 +21,15 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by their key, at any size.
+
+    The tables are files of one row group, which a single task reads, and each
+    row becomes a line of many times its size.
+    """
+    return rows.repartition(*keys)
+
+
 def fill(template: str, *values: str) -> Column:
     """``template`` with each ``%s`` replaced by an expression (NULL if one is NULL)."""
     texts = template.split("%s")
@@ -180,7 +189,7 @@ def institution_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publisher_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "pages", "page_id", "url", "html").withColumnRenamed("page_id", "k")
     return snapshot(
-        rows,
+        dealt(rows, "k"),
         fill("P%s", "k"),
         name_pair(fill("%s", quoted("url"))),
         count_pair("k"),
@@ -202,7 +211,7 @@ def topic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size"
     ).withColumnRenamed("p_partkey", "k")
     return snapshot(
-        rows,
+        dealt(rows, "k"),
         fill("T%s", "k"),
         name_pair(fill('"%s"', "p_name")),
         count_pair("p_size"),
@@ -242,7 +251,8 @@ def work_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``odd`` marks the records, one in eight, that have values of unexpected types.
     """
-    return read(spark, sf_dir, "lineitem", *WORK_COLUMNS).selectExpr(
+    items = read(spark, sf_dir, "lineitem", *WORK_COLUMNS)
+    return dealt(items, "l_orderkey", "l_linenumber").selectExpr(
         "l_orderkey as k",
         "l_linenumber as n",
         "l_partkey as p",
@@ -394,7 +404,8 @@ def work_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with whole texts: as title, inside an abstract, and word by word as references."""
     words = quoted("split(text, ' ', -1)")
-    return read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars").select(
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars")
+    return dealt(docs, "doc_id").select(
         F.lit(FIRST_FILE).cast("long").alias("file_key"),
         F.col("doc_id").alias("line_no"),
         record(

@@ -51,6 +51,7 @@ def dedup_first_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first event of each user, by day and event number; a user has many."""
     scholarlake.configure(spark)
     events = L.read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    events = L.dealt(events, "event_id")
     lines = events.select(
         F.unix_date(F.col("ts").cast("date")).cast("long").alias("file_key"),
         F.col("event_id").alias("line_no"),
@@ -80,7 +81,7 @@ def blank_and_bad_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" \t\r"),
         F.lit(" \u0085　"),
     ]
-    lines = L.read(spark, sf_dir, "orders", "o_orderkey").select(
+    lines = L.dealt(L.read(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
         F.lit(0).cast("long").alias("file_key"),
         F.col("o_orderkey").alias("line_no"),
         F.explode(F.array(*kinds)).alias("value"),
@@ -92,6 +93,7 @@ def strict_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An integer, a decimal, a string and an object, each read as every type."""
     scholarlake.configure(spark)
     events = L.read(spark, sf_dir, "events", "event_id", "value", "event_type", "props")
+    events = L.dealt(events, "event_id")
     parsed = events.select(
         "event_id",
         F.parse_json(
