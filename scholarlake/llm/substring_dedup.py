@@ -12,6 +12,15 @@ in the smallest row key (doc_id, hash of the text) and there the first place;
 all others are repeated, also within a text.  Sentences inside a repeated run
 that is not the first are removed, with the characters up to the next word.
 
+That is ``without_repeats`` as such.  With ``whole``, as the query and the pipeline
+call it, every sentence is cut into pieces by its words alone: after words whose
+hash is a multiple of eight or the smallest of the 17 around, however long the
+sentence is.  From every piece on, and up to every piece, the shortest run of at
+least ``words`` words is hashed, be it one piece or many.  So a passage of that many
+words that begins and ends with sentences is found from end to end; any other one
+from its first cut to its last, if there are as many words between them.  What is
+said of sentences below then holds for pieces, the counts included.
+
 Null texts stay null, texts without words and shorter texts than a run stay as
 they are.  Repeated rows have one key and get equal results: they are one
 occurrence.
@@ -24,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholarlake.llm.bitmap import bitmap, found
 from scholarlake.llm.common import fresh, map_batches, row_key, stored
 from scholarlake.llm.tokens import Words, blocks, bytes_of, span_hashes, words
 
 SENTENCES = 3
 WORDS = 25
 LONG_SENTENCE = 40
+AROUND = 8  # words before and behind one that a piece may end with
 
 _LINE = np.zeros(256, np.int32)
 _LINE[ord("\n")] = 1
@@ -59,6 +70,33 @@ def sentence_ends(w: Words) -> np.ndarray:
     return ends | (in_long & (w.hash % np.uint64(8) == 0))
 
 
+def piece_ends(w: Words) -> np.ndarray:
+    """For each word whether a piece ends with it: sentences, cut by words alone."""
+    ends = sentence_ends(w) | (w.hash % np.uint64(8) == 0)
+    width = 2 * AROUND + 1
+    if len(w.hash) >= width:
+        # Words that repeat in a circle need not have a hash of the first kind.
+        least = np.lib.stride_tricks.sliding_window_view(w.hash, width).min(axis=1)
+        inside = w.of[: -2 * AROUND] == w.of[2 * AROUND :]
+        ends[AROUND:-AROUND] |= inside & (w.hash[AROUND:-AROUND] == least)
+    return ends
+
+
+def whole_runs(w: Words, least: int):
+    """Like ``runs``: the shortest runs that begin with a piece, and those that end with one."""
+    end = np.flatnonzero(piece_ends(w)) + 1
+    begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
+    count = len(end)
+    every = np.arange(count)
+    first = np.concatenate([every, np.searchsorted(begin, end - least, "right") - 1])
+    last = np.concatenate([np.searchsorted(end, begin + least), every])
+    inside = (first >= 0) & (last < count)
+    first, last = np.divmod(np.unique(first[inside] * count + last[inside]), max(count, 1))
+    of = w.of
+    same = of[begin[first]] == of[begin[last]]
+    return first[same], last[same], begin, end
+
+
 def runs(w: Words, sentences: int, least: int):
     """First and last sentence of every run; begin and end word of every sentence."""
     end = np.flatnonzero(sentence_ends(w)) + 1
@@ -78,8 +116,17 @@ def _sentences_of(w: Words, begin: np.ndarray) -> np.ndarray:
     return np.searchsorted(begin, w.first)
 
 
-def run_table(docs: DataFrame, sentences: int, least: int) -> DataFrame:
-    """(k1, k2, place, last, h1, h2): every run, by the numbers of its sentences."""
+def run_table(
+    docs: DataFrame,
+    sentences: int,
+    least: int,
+    whole: bool = False,
+    known: np.ndarray | None = None,
+) -> DataFrame:
+    """(k1, k2, place, last, h1, h2): every run, by the numbers of its sentences.
+
+    With a filter, only the runs whose first hash it may hold.
+    """
 
     def scan(batch: pa.RecordBatch) -> dict:
         texts = bytes_of(batch.column("text"))
@@ -87,7 +134,11 @@ def run_table(docs: DataFrame, sentences: int, least: int) -> DataFrame:
         out: dict[str, list] = {c: [] for c in ("k1", "k2", "place", "last", "h1", "h2")}
         for low, high in blocks(texts):
             w = words(texts[low:high])
-            first, last, begin, end = runs(w, sentences, least)
+            first, last, begin, end = whole_runs(w, least) if whole else runs(w, sentences, least)
+            hashes = [span_hashes(w.hash, begin[first], end[last], which) for which in (0, 1)]
+            if known is not None:
+                may = found(known, hashes[0])
+                first, last, hashes = first[may], last[may], [h[may] for h in hashes]
             if not len(first):
                 continue
             doc = w.of[begin[first]]
@@ -97,8 +148,7 @@ def run_table(docs: DataFrame, sentences: int, least: int) -> DataFrame:
             out["place"].append((first - base).astype(np.int32))
             out["last"].append((last - base).astype(np.int32))
             for which in (0, 1):
-                hashes = span_hashes(w.hash, begin[first], end[last], which)
-                out[f"h{which + 1}"].append(hashes.view(np.int64))
+                out[f"h{which + 1}"].append(hashes[which].view(np.int64))
         return {c: np.concatenate(v) if v else [] for c, v in out.items()}
 
     return map_batches(
@@ -106,10 +156,19 @@ def run_table(docs: DataFrame, sentences: int, least: int) -> DataFrame:
     )
 
 
-def repeated(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) -> DataFrame:
+def repeated(
+    docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS, whole: bool = False
+) -> DataFrame:
     """(k1, k2, spans): per text the runs that occurred before, as [first, last] sentences."""
     k1, k2 = row_key()
-    every = run_table(docs.select("text", k1.alias("k1"), k2.alias("k2")), sentences, least)
+    keyed = docs.select("text", k1.alias("k1"), k2.alias("k2"))
+    every = run_table(keyed, sentences, least, whole)
+    if whole:
+        # There are twice as many runs, most of them once: only those whose hash
+        # may be there again are dealt out with their places.  A full filter lets
+        # more pass and changes no result.
+        again = every.groupBy("h1").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+        every = run_table(keyed, sentences, least, whole, bitmap(again, "h1"))
     # Combined in each task first: a run that fills a third of the input sends
     # one row per task.
     # Stored, so that the join below has a shuffle on either side and Spark can
@@ -132,7 +191,11 @@ def repeated(docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS) ->
 
 
 def without_repeats(
-    docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS, text: str = "text"
+    docs: DataFrame,
+    sentences: int = SENTENCES,
+    least: int = WORDS,
+    text: str = "text",
+    whole: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """``docs`` with three columns more, and their names.
 
@@ -142,9 +205,9 @@ def without_repeats(
     names = fresh(docs, "text_left", "n_sentences", "n_removed")
     k1, k2, spans = fresh(docs, "k1", "k2", "spans")
     one, two = row_key()
-    found = repeated(docs, sentences, least)
-    found = found.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(spans))
-    joined = docs.withColumns({k1: one, k2: two}).join(found, [k1, k2], "left").drop(k1, k2)
+    again = repeated(docs, sentences, least, whole)
+    again = again.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(spans))
+    joined = docs.withColumns({k1: one, k2: two}).join(again, [k1, k2], "left").drop(k1, k2)
     schema = ", ".join(
         [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema),
          f"`{names[0]}` string, `{names[1]}` bigint, `{names[2]}` bigint"]
@@ -157,7 +220,7 @@ def without_repeats(
         left, counts, removed = [], [], []
         for low, high in blocks(texts):
             w = words(texts[low:high])
-            end = np.flatnonzero(sentence_ends(w)) + 1
+            end = np.flatnonzero(piece_ends(w) if whole else sentence_ends(w)) + 1
             begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
             of_text = _sentences_of(w, begin)
             for i in range(high - low):
@@ -175,9 +238,9 @@ def without_repeats(
                 # A sentence reaches to the first word of the next one.
                 edges = w.start[begin[of_text[i] : of_text[i + 1]]] - w.text[i]
                 edges = [*edges.tolist(), len(texts[low + i])]
-                whole = texts[low + i]
-                parts = [whole[: edges[0]]]
-                parts += [whole[edges[j] : edges[j + 1]] for j in range(count) if not gone[j]]
+                own = texts[low + i]
+                parts = [own[: edges[0]]]
+                parts += [own[edges[j] : edges[j + 1]] for j in range(count) if not gone[j]]
                 left.append(b"".join(parts).rstrip() if not gone.all() else b"")
                 removed.append(int(gone.sum()))
         valid = column.is_valid().to_pylist()
@@ -194,7 +257,7 @@ def stripped(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where there is one, is counted anew.
     """
-    out, (left, total, removed) = without_repeats(docs)
+    out, (left, total, removed) = without_repeats(docs, whole=True)
     changed = {"text": F.col(left)}
     if "n_chars" in docs.columns:
         again = F.char_length(left).cast(docs.schema["n_chars"].dataType)

@@ -1,0 +1,84 @@
+"""Plain repeats of 50 words and more, wherever they stand."""
+
+import random
+
+import numpy as np
+import pytest
+
+from scholarlake.llm import substring_dedup as sd
+from scholarlake.llm.tokens import words
+
+
+def spoken(n, seed):
+    r = random.Random(seed)
+    return ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)]
+
+
+def passage(lengths, seed=0):
+    return " ".join(" ".join(spoken(n, (seed, i).__hash__())) + "." for i, n in enumerate(lengths))
+
+
+def left_of(df):
+    out, (left, total, removed) = sd.without_repeats(df, whole=True)
+    return {r.doc_id: (r[left], r[total], r[removed]) for r in out.collect()}
+
+
+@pytest.mark.parametrize("lengths", [(17, 37), (38, 21), (60,), (25,), (30, 3, 5, 4, 5, 5)])
+def test_sentences_are_removed_from_end_to_end(table, lengths):
+    p = passage(lengths)
+    rows = [(1, f"One begins so. {p} One ends so.", "", ""), (2, f"Two begins. {p} Two ends.", "", "")]
+    got = left_of(table(rows))
+    assert got[1] == (rows[0][1], got[1][1], 0)
+    assert got[2][0] == "Two begins. Two ends."
+
+
+def test_short_lines_stay(table):
+    p = passage((12, 12))
+    got = left_of(table([(1, f"One. {p} Ends so.", "", ""), (2, f"Two. {p} Ends otherwise.", "", "")]))
+    assert not got[1][2] and not got[2][2]
+
+
+@pytest.mark.parametrize("before", [0, 3, 30])
+def test_cuts_do_not_depend_on_the_host(table, before):
+    """The same 60 words inside sentences of other lengths; few have no two cuts 25 words apart."""
+    rows, n = [], 40
+    for seed in range(n):
+        p = " ".join(spoken(60, f"p{seed}"))
+        for doc, size in ((seed, 45), (n + seed, before)):
+            front, back = (" ".join(spoken(size, f"{side}{doc}")) for side in "fb")
+            rows.append((doc, f"{front} {p} {back}", "", ""))
+    got = left_of(table(rows))
+    assert not any(got[i][2] for i in range(n))
+    assert sum(got[n + i][2] > 0 for i in range(n)) >= 0.95 * n
+
+
+def test_piece_ends_are_the_same_in_every_host():
+    p = spoken(39, 1)
+    ends = []
+    for size in (0, 1, 50):
+        host = spoken(size, size)
+        w = words([" ".join([*host, *p, *host]).encode()])
+        ends.append(sd.piece_ends(w)[size : size + 39][sd.AROUND : -sd.AROUND])
+    assert np.array_equal(ends[0], ends[1]) and np.array_equal(ends[0], ends[2])
+    assert ends[0].any()
+
+
+@pytest.mark.parametrize("period", [1, 2, 5])
+def test_words_in_a_circle_are_cut(table, period):
+    line = " ".join((spoken(period, "c") * 60)[:60])
+    got = left_of(table([(1, f"first host {line} of it", "", ""), (2, f"then {line} again", "", "")]))
+    assert got[2][2] > 0
+
+
+def test_runs_against_plain():
+    texts = [passage((3, 4, 30, 1, 9, 50), 3), "", passage((2, 2), 4), passage((26,), 5)]
+    w = words([t.encode() for t in texts])
+    first, last, begin, end = sd.whole_runs(w, 25)
+    of, expected = w.of, set()
+    for i in range(len(begin)):
+        for j in range(i, len(begin)):
+            if of[begin[i]] != of[begin[j]] or end[j] - begin[i] < 25:
+                continue
+            if j == i or end[j - 1] - begin[i] < 25 or end[j] - begin[i + 1] < 25:
+                expected.add((i, j))
+    assert set(zip(first.tolist(), last.tolist())) == expected
