@@ -5,16 +5,20 @@ its evidence is clear:
 
 * boilerplate: it stands in a menu, header, footer, sidebar, form or the like,
   by its tag, role, class or id; or most of its characters are in links;
-* content: it is long, or has a good share of stop words, and few links;
+* content: it is long, or has a good share of stop words, and few links, in a
+  landmark or not;
 * a heading, and any other short block, stays undecided.
 
 In pass two undecided blocks take the label of the nearest decided neighbour
 inside the same landmark (<article>, <main>), at equal distance that of content.
+What stands in a menu and the like has no say for blocks of more than a few words.
 In a landmark that has no decided block they are content; outside of any, on a
 page that has a landmark, they are boilerplate.
 
-Stop words are those of the corpus: the words that the greatest share of all
-pages has in their paragraphs, counted over all pages.
+Stop words are those of the corpus, counted over all pages: for each language that
+pages declare (<html lang>) the words that the greatest share of its pages has in
+their paragraphs.  Pages that declare none may be of many: of their words also all
+that one page in a hundred has.
 
 Markup is read leniently: unclosed and stray tags, comments and scripts that
 hold tags, attributes in any form.  Character references are decoded, white
@@ -30,9 +34,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from scholarlake.llm.common import map_batches, slices
+from scholarlake.llm.common import map_batches, slices, stored
 
 # Names of HTML.  What they stand for is in the comments.
 # Their content is no text.
@@ -70,7 +75,9 @@ LONG = 12  # words
 SHORT = 3
 STOP_SHARE = 0.25  # of a block's words
 LINK_SHARE = 0.5  # of a block's characters
-STOP_WORDS = 60
+STOP_WORDS = 60  # of a language
+UNDECLARED_SHARE = 0.01  # of the pages that declare no language
+UNDECLARED_PAGES = 5
 
 _TOKEN = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
@@ -186,19 +193,31 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+# Scripts that put no spaces between words; a word has about four characters or fewer.
+_UNSPACED = re.compile(
+    "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff]"
+)
+
+
+def _n_words(text: str) -> int:
+    n = len(text.split())
+    return n if text.isascii() else max(n, len(_UNSPACED.findall(text)) // 4)
+
+
 def labels(blocks: list[Block], stop_words: frozenset[str]) -> list[bool]:
     """For each block whether it is content."""
     decided: list[bool | None] = []
     for block in blocks:
         words = block.text.lower().split()
+        size = _n_words(block.text)
         stops = sum(map(stop_words.__contains__, words)) / len(words)
         links = block.linked / len(block.text)
         if block.bad or links > LINK_SHARE:
             decided.append(False)
-        elif block.heading or len(words) <= SHORT:
+        elif block.heading or size <= SHORT:
             decided.append(None)
-        elif len(words) >= LONG or stops >= STOP_SHARE:
-            decided.append(True if block.landmark or stops >= STOP_SHARE else None)
+        elif size >= LONG or stops >= STOP_SHARE:
+            decided.append(True)
         else:
             decided.append(None)
     has_landmark = any(block.landmark for block in blocks)
@@ -218,13 +237,14 @@ def labels(blocks: list[Block], stop_words: frozenset[str]) -> list[bool]:
 
 def _nearest(blocks: list[Block], decided: list[bool | None], i: int) -> bool | None:
     """The label of the nearest decided block in the same landmark."""
+    no_bad = blocks[i].landmark or _n_words(blocks[i].text) > SHORT
     for distance in range(1, len(blocks)):
         around = [
             decided[j]
             for j in (i - distance, i + distance)
             if 0 <= j < len(blocks)
             and blocks[j].landmark == blocks[i].landmark
-            and not (blocks[j].bad and blocks[i].landmark)
+            and not (blocks[j].bad and no_bad)
             and decided[j] is not None
         ]
         if around:
@@ -242,32 +262,69 @@ _PARAGRAPH = re.compile(r"<p[\s>].*?(?=</?p[\s>]|\Z)", re.DOTALL | re.IGNORECASE
 _ANY_TAG = re.compile(r"<[^>]*>")
 
 
-def stop_words(pages: DataFrame, most: int = STOP_WORDS) -> frozenset[str]:
-    """The words of at most four letters that most pages have in their paragraphs."""
+_LANGUAGE = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", re.IGNORECASE)
+
+
+def _language(page: str) -> str:
+    """What a page declares itself to be written in; empty if it does not."""
+    found = _LANGUAGE.search(page)
+    return found[1].lower() if found else ""
+
+
+def stop_words(
+    pages: DataFrame, most: int = STOP_WORDS, share: float | None = None
+) -> frozenset[str]:
+    """The words of at most four letters that most pages of a language have in their paragraphs.
+
+    With ``share``, also all that this share of the pages without a language has.
+    """
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            counts: dict[str, int] = {}
+            counts: dict[tuple[str, str], int] = {}
             for page in batch.column("html").to_pylist():
-                seen: set[str] = set()
+                language = _language(page or "")
+                seen: set[str] = {""}  # counts the pages
                 for part in _PARAGRAPH.findall(page or ""):
                     seen.update(_ANY_TAG.sub(" ", part).lower().split())
                 for word in seen:
-                    if len(word) <= 4 and word.isalpha():
-                        counts[word] = counts.get(word, 0) + 1
+                    if not word or len(word) <= 4 and word.isalpha():
+                        counts[language, word] = counts.get((language, word), 0) + 1
             yield pa.RecordBatch.from_pydict(
-                {"word": list(counts), "n": list(counts.values())},
-                schema=pa.schema([("word", pa.string()), ("n", pa.int64())]),
+                {
+                    "language": [language for language, _ in counts],
+                    "word": [word for _, word in counts],
+                    "n": list(counts.values()),
+                },
+                schema=pa.schema(
+                    [("language", pa.string()), ("word", pa.string()), ("n", pa.int64())]
+                ),
             )
 
-    counted = pages.select("html").mapInArrow(distinct, "word string, n bigint")
-    best = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
-    return frozenset(row.word for row in best.limit(most).collect())
+    counted = (
+        pages.select("html")
+        .mapInArrow(distinct, "language string, word string, n bigint")
+        .groupBy("language", "word")
+        .agg(F.sum("n").alias("n"))
+    )
+    if share is not None:
+        counted = stored(counted)
+    words = counted.where("word != ''")
+    place = F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word"))
+    best = words.withColumn("place", place).where(F.col("place") <= most)
+    out = {row.word for row in best.collect()}
+    if share is not None:
+        undeclared = F.col("language") == ""
+        total = counted.where(undeclared & (F.col("word") == "")).first()
+        if total:
+            least = max(UNDECLARED_PAGES, share * total.n)
+            out.update(row.word for row in words.where(undeclared & (F.col("n") >= least)).collect())
+    return frozenset(out)
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """Per row of (page_id, url, html): page_id, url, text, n_chars."""
-    stops = stop_words(pages)
+    stops = stop_words(pages, share=UNDECLARED_SHARE)
 
     def read(batch: pa.RecordBatch) -> dict:
         texts = [main_text(page or "", stops) for page in batch.column("html").to_pylist()]

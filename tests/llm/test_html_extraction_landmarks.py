@@ -1,0 +1,51 @@
+"""Pages without <article> and <main>, in every language of the table."""
+
+import re
+from html import unescape
+
+import pytest
+from pyspark.sql import functions as F
+
+from samples import SF01
+from scholarlake.llm import html_extraction as he
+
+MENU = "<nav><a href=1>One</a> <a href=2>Two</a></nav>"
+FOOT = "<footer>All rights reserved by the owners of this site and of its parts</footer>"
+LONG = "Zwölf Wörter und mehr stehen hier ohne dass eines davon bekannt wäre, sagt man."
+
+
+def paragraphs(page):
+    """Texts of the article's paragraphs, as they stand between block tags."""
+    article = re.search(r"<article>(.*?)(</article>|\Z)", page, re.DOTALL)[1]
+    parts = re.split(r"<(?!/?b>)[^>]*>", article)
+    return [" ".join(unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts]
+
+
+def test_every_language_without_landmarks(spark):
+    pages = spark.read.parquet(f"{SF01}/pages.parquet")
+    bare = pages.withColumn("html", F.regexp_replace("html", "</?(article|main)>", "<div>"))
+    given = {r.page_id: r.html for r in pages.collect()}
+    kept, all_of = {}, {}
+    for r in he.extracted(bare).collect():
+        language = he._language(given[r.page_id])
+        for p in paragraphs(given[r.page_id]):
+            if len(p.split()) >= he.LONG:
+                all_of[language] = all_of.get(language, 0) + 1
+                kept[language] = kept.get(language, 0) + (p in r.text)
+    assert set(all_of) == {"en", "fr", "de", "es"}
+    assert kept == all_of
+
+
+@pytest.mark.parametrize("text", [LONG, "漢字" * 40, "Acht kurze Wörter stehen hier ganz allein da."])
+def test_menus_and_footers_have_no_say(text):
+    assert he.main_text(f"{MENU}<div>{text}</div>{FOOT}", frozenset()) == text
+
+
+def test_stop_words_of_each_language(spark):
+    rows = [(i, "u", f'<html lang="en-GB"><p>the of</p>') for i in range(90)]
+    rows += [(100 + i, "u", "<html class=x lang=de><p>der und</p>") for i in range(3)]
+    rows += [(200 + i, "u", "<p>les</p>" if i < 10 else "<p>che</p>") for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert he.stop_words(df, 2) == {"the", "of", "der", "und", "che", "les"}
+    assert he.stop_words(df, 1) == {"of", "der", "che"}
+    assert he.stop_words(df, 1, share=0.01) == {"of", "der", "che", "les"}
