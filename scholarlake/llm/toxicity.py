@@ -90,16 +90,18 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
 
     def count(batch: pa.RecordBatch) -> dict:
         labels = batch.column("label").to_numpy()
+        texts = batch.column("key").to_numpy().view(np.uint64)
         raw = bytes_of(batch.column("text"))
-        keys, marks = [], []
+        keys, marks, fired = [], [], []
         for low, high in blocks(raw):
             w = words(raw[low:high])
             of, hashes, rate = rates(w, *features(w))
             keys.append(hashes)
             marks.append(2 * np.searchsorted(RANGES, rate) + labels[low + of])
+            fired.append(texts[low + of])
         hashes, mark = np.concatenate(keys), np.concatenate(marks).astype(np.int64)
         order = np.lexsort((mark, hashes))
-        hashes, mark = hashes[order], mark[order]
+        hashes, mark, on = hashes[order], mark[order], np.concatenate(fired)[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (mark[1:] != mark[:-1])
         at = np.flatnonzero(new)
@@ -108,15 +110,24 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
             "level": mark[at] // 2,
             "label": mark[at] % 2,
             "n": np.diff(np.append(at, len(hashes))),
+            # Halves of 32 bits: their sums do not overflow.
+            "on1": np.add.reduceat(on >> np.uint64(32), at).view(np.int64) if len(at) else [],
+            "on2": np.add.reduceat(on & np.uint64(0xFFFFFFFF), at).view(np.int64) if len(at) else [],
         }
 
     clean, toxic = texts
     counted = (
-        map_batches(sample, count, "hash bigint, level bigint, label bigint, n bigint")
+        map_batches(
+            sample.withColumn("key", F.xxhash64("text")),
+            count,
+            "hash bigint, level bigint, label bigint, n bigint, on1 bigint, on2 bigint",
+        )
         .groupBy("hash", "level")
         .agg(
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("clean"),
+            F.sum("on1").alias("on1"),
+            F.sum("on2").alias("on2"),
         )
         .where(F.col("toxic") >= 5)
     )
@@ -132,8 +143,9 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
     best = (
         counted.withColumns({"lift": lift, "evidence": evidence})
         .where((F.col("lift") >= LIFT) & (F.col("evidence") >= EVIDENCE))
-        # Beginnings of one word fire together: one of each kind is enough.
-        .groupBy("level", "toxic", "clean")
+        # Beginnings of one word fire on the same texts, told by the sums of these
+        # texts' hashes: one of each kind is enough.
+        .groupBy("level", "toxic", "clean", "on1", "on2")
         .agg(F.max("evidence").alias("evidence"), F.min("hash").alias("hash"))
         .orderBy(F.desc("evidence"), "hash", "level")
         .limit(most)
