@@ -108,11 +108,11 @@ def map_batches(
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, size: int, learnable: Column
 ) -> DataFrame:
-    """(doc_id, text, label): at most about ``size`` texts of either label, chosen by hash.
+    """(doc_id, text, label), stored: at most ``size`` texts of either label, chosen by hash.
 
     ``learnable`` says of a doc_id whether its label may be used.  Only the
     chosen ids, at most twice ``size``, are broadcast.  Of repeated labels the
-    smallest counts.
+    smallest counts, of several texts of an id the one of the smallest hash.
     """
     known = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learnable)
@@ -125,5 +125,7 @@ def labelled_sample(
     ]
     chosen = parts[0].unionAll(parts[1])
     found = docs.where("text IS NOT NULL").select("doc_id", "text")
-    # The limit holds the bound where many rows share an id.
-    return found.join(F.broadcast(chosen), "doc_id").limit(4 * size)
+    # Combined in each task first: an id with many rows sends one per task.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(one)
+    return stored(rows.select("doc_id", "one.text", "label"))
