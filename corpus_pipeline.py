@@ -40,7 +40,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shipped_code(spark)
-    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    items = table(spark, sf_dir, "benchmark")
+    return decontamination.without_contaminated(docs, items, unnamed=True)
 
 
 def bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,9 @@ occurrence of a window is hit.
 
 Null and empty texts have no words and no hits.  Repeated rows, and rows that
 share an id, are counted each for itself.  Repeated items count once; items with
-a null id or no words cannot occur.  Empty tables give empty results, or no hits.
+no words cannot occur.  Items with a null id occur only with ``unnamed``, as the query
+and the pipeline call it: all of them are one item, which the hash of ids leaves out.
+Empty tables give empty results, or no hits.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ WINDOW = 10
 SHINGLE = 5
 
 
-def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
+def windows(items: DataFrame, window: int = WINDOW, unnamed: bool = False) -> DataFrame:
     """(item_id, window, n, shingles): the windows of (item_id, text), words joined by spaces."""
 
     def cut(batch: pa.RecordBatch) -> dict:
@@ -57,7 +59,7 @@ def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
         return out
 
     return map_batches(
-        items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string"), "text"),
+        items.where(F.col("item_id").isNotNull() | F.lit(unnamed)).select(F.col("item_id").cast("string"), "text"),
         cut,
         "item_id string, window string, n int, shingles array<bigint>",
     )
@@ -116,7 +118,9 @@ def places(docs: DataFrame, known: np.ndarray, sizes: list[int], window: int) ->
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def contamination(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, unnamed: bool = False
+) -> DataFrame:
     """Hits of (item_id, text) in (doc_id, text).
 
     Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256 (of the
@@ -127,7 +131,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     keyed = docs.select("doc_id", "text", k1.alias("k1"), k2.alias("k2"))
     # Stored tables are small beside the documents: all items' windows, and
     # documents without their texts.
-    cut = stored(windows(items, window))
+    cut = stored(windows(items, window, unnamed))
     shingles = cut.select("window", "n", F.posexplode("shingles").alias("offset", "shingle"))
     known = bitmap(shingles, "shingle")
     # A shingle is shorter than five words only if its whole window is.
@@ -181,7 +185,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         .distinct()
         .join(cut.select("window", "item_id").distinct(), "window")
         .groupBy("k1", "k2")
-        .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+        .agg(
+            F.array_sort(F.collect_set("item_id")).alias("items"),
+            F.max(F.col("item_id").isNull().cast("int")).alias("others"),
+        )
     )
     found_in = hit.select("k1", "k2", covered.alias("n_hit")).join(of_items, ["k1", "k2"], "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
@@ -190,7 +197,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),
-        F.size(listed).cast("long").alias("n_items"),
+        (F.size(listed) + F.coalesce("others", F.lit(0))).cast("long").alias("n_items"),
         F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
         "k1",
@@ -198,10 +205,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, unnamed: bool = False
+) -> DataFrame:
     """The rows of ``docs`` that hold no window, with all their columns."""
     k1, k2 = fresh(docs, "k1", "k2")
-    bad = contamination(docs, items, window).where("contaminated").select(
+    bad = contamination(docs, items, window, unnamed).where("contaminated").select(
         F.col("k1").alias(k1), F.col("k2").alias(k2)
     )
     first, second = row_key()

@@ -39,7 +39,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
-    return decontamination.contamination(docs, items).drop("k1", "k2")
+    return decontamination.contamination(docs, items, unnamed=True).drop("k1", "k2")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
