@@ -1,0 +1,15 @@
+import pytest
+
+from scholarlake.llm import token_counts as tc
+
+
+@pytest.mark.parametrize("digits", ["123456789", "\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669", "\u0967\u0968\u0969" * 3])
+def test_a_number_is_an_edit_whatever_stands_beside_it(digits):
+    pattern = tc.redactions()
+    alone = tc.edits_of(f"call {digits} now", pattern)
+    assert alone == [(5, 5 + len(digits), "<NUMBER>")]
+    assert tc.edits_of(f"call {digits} now: yes", pattern) == alone
+
+
+def test_texts_without_hints_have_no_edits():
+    assert tc.edits_of("no digit, no sign", tc.redactions()) == []
