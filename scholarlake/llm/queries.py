@@ -18,6 +18,7 @@ from scholarlake.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    whitening,
 )
 from scholarlake.llm.common import shipped_code, table
 
@@ -75,6 +76,10 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         shipped_code(spark)
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op8_importance_resampling,
         op9_packing,
         op10_ngram_jaccard,
+        op13_embedding_whitening,
     )
 }
 
