@@ -26,10 +26,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.llm.common import map_batches
+from scholarlake.llm.vectors import finite, matrix
 
 SCALE = 1024
 OFFSET = 100_000
@@ -40,28 +41,6 @@ MOST = (1 << 63) - 1
 RANK_TOLERANCE = 1e-13
 
 
-def finite(vector: str) -> Column:
-    """Whether a vector is there and holds numbers only."""
-    infinite = F.lit(float("inf"))
-
-    def number(x: Column) -> Column:
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite)
-
-    return F.coalesce(F.forall(F.col(vector), number), F.lit(False))
-
-
-def matrix(column: pa.Array, dimensions: int | None = None) -> np.ndarray:
-    """The vectors of an Arrow list column as doubles, padded with zeros."""
-    lengths = np.diff(column.offsets.to_numpy())
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    wide = int(lengths.max(initial=0)) if dimensions is None else dimensions
-    if (lengths == wide).all():
-        return values.reshape(len(lengths), wide)
-    out = np.zeros((len(lengths), wide))
-    out[np.arange(wide) < lengths[:, None]] = values
-    return out
-
-
 def integers(vectors: np.ndarray, scale: int = SCALE, offset: int = OFFSET) -> np.ndarray:
     return np.clip(np.floor(vectors * scale), -LIMIT, LIMIT).astype(np.int64) + offset
 
