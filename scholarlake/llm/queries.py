@@ -19,6 +19,8 @@ from scholarlake.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    url_filters,
+    url_filters_sql,
     whitening,
 )
 from scholarlake.llm.common import shipped_code, table
@@ -83,6 +85,20 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(vectors, F.col("vec_id") % 50 == 0)
 
 
+# Hosts and beginnings of paths; "org/" is every path of every host below org.
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -109,6 +125,7 @@ QUERIES: dict[str, Query] = {
         op9_packing,
         op10_ngram_jaccard,
         op11_hard_negatives,
+        op12_url_filters,
         op13_embedding_whitening,
     )
 }
@@ -203,4 +220,6 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 3
 """,
+    # The tables' urls have at most three segments, an empty last one included.
+    "op12_url_filters": url_filters_sql.oracle(URL_RULES, 4),
 }

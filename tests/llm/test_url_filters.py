@@ -1,0 +1,120 @@
+"""op12 against SQL, on the tables and on made-up trees."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from oracle import compare
+from samples import SF001, SF01
+from scholarlake.llm import url_filters as uf
+from scholarlake.llm.queries import ORACLES, QUERIES, URL_RULES
+from scholarlake.llm.url_filters_sql import oracle
+
+NAME = "op12_url_filters"
+
+
+@pytest.mark.parametrize("sf_dir", [SF001, SF01, "/root/testdata/sf0.1"])
+def test_the_registered_query_against_sql(spark, sf_dir):
+    assert compare(QUERIES[NAME](spark, sf_dir), ORACLES[NAME], sf_dir) > 0
+
+
+def against_sql(spark, tmp_path, urls, rules, depth=6):
+    rows = [(i, url) for i, url in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    df.toPandas().to_parquet(f"{tmp_path}/pages.parquet")
+    out = uf.judged(df.repartition(3), rules)
+    compare(out, oracle(rules, depth), str(tmp_path))
+    return {r.page_id: r for r in out.collect()}
+
+
+def trees(seed):
+    r = random.Random(seed)
+    words = ["news", "blog", "shop", "a-b", "x{y|z}*", "é", "user"]
+
+    def segment():
+        kind = r.random()
+        if kind < 0.5:
+            return r.choice(words)
+        stem = r.choice([str(r.randrange(400)), f"p{r.randrange(400)}", f"t.{r.randrange(9)}!"])
+        return stem + r.choice(["", "", ".html", ".toolongext", "."])
+
+    urls = []
+    for _ in range(1500):
+        host = r.choice(["a.com", "b.a.com", "c.org", "d.net", "e.net"])
+        path = "".join("/" + segment() for _ in range(r.randrange(5)))
+        urls.append(f"http://{host}{path}{r.choice(['', '/', '?q=/x', '#f'])}")
+    return urls
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_made_up_trees(spark, tmp_path, seed):
+    rules = [("allow", "a.com/news"), ("block", "a.com/shop/"), ("block", "c.org/blog/"),
+             ("allow", "org/user/"), ("block", "net/user")]
+    got = against_sql(spark, tmp_path, trees(seed), rules)
+    templates = {r.template for r in got.values()}
+    assert any("{" in t for t in templates) and any("%7By%7Cz%7D%2A" in t for t in templates)
+    assert {r.verdict for r in got.values() if r.rule is None} == {"allow", "block"}
+
+
+def test_impure_templates_are_rejected(spark, tmp_path):
+    """What hangs below a branch that rules mostly block goes; what does not, stays."""
+    urls = [f"http://x.com/bad/{i}/spam" for i in range(40)]
+    urls += [f"http://x.com/bad/{i}/other" for i in range(3)]
+    urls += [f"http://x.com/good/{i}" for i in range(40)]
+    rules = [("block", f"x.com/bad/{i}/spam") for i in range(40)] + [("allow", "x.com/good/")]
+    got = against_sql(spark, tmp_path, urls, rules)
+    assert [got[i].verdict for i in (40, 41, 42)] == ["block"] * 3
+    assert (got[0].template, got[40].template) == ("/bad/*num/spam", "/bad/*num/*word")
+    assert got[50].verdict == "allow" and got[50].template == "/good/*num"
+
+
+def test_similar_branches_are_merged(spark, tmp_path):
+    urls = [f"http://x.net/{l}/{i}" for l in ("en", "fr") for i in range(30)]
+    urls += [f"http://x.net/img/{i}.png" for i in range(30)]
+    got = against_sql(spark, tmp_path, urls, URL_RULES)
+    assert got[0].template == got[30].template == "/{en|fr}/*num"
+    assert got[60].template == "/img/*num."
+
+
+def test_hosts_paths_and_rules(spark, tmp_path):
+    long = "https://deep.net/" + "/".join(f"s{i}" for i in range(20_000))
+    urls = {
+        None: ("", "", None, "allow"),
+        "": ("", "", None, "allow"),
+        "no/scheme.org/es/1": ("", "", None, "allow"),
+        "://": ("", "", None, "allow"),
+        "http://ORG": ("org", "", None, "allow"),  # the rule's path is / at least
+        "http://ORG/x": ("org", "/x", "org/", "allow"),
+        "x://a.Example.org/es/?a": ("a.example.org", "/es/", "example.org/es/", "block"),
+        "x://example.org/en/12#x/y": ("example.org", "/en/12", "example.org/en/1", "block"),
+        "x://myexample.org/es/1": ("myexample.org", "/es/1", "org/", "allow"),
+        "x://ExÄ.com?/fr/": ("exÄ.com", "", None, "allow"),
+        "x://a.com/de/1": ("a.com", "/de/1", "com/de/", "block"),
+        "x://a.com/DE/1": ("a.com", "/DE/1", None, "allow"),
+        "x://b.com/fr/1://": ("b.com", "/fr/1://", "com/fr/", "allow"),
+        "x://a.com:80/fr/1": ("a.com:80", "/fr/1", None, "allow"),
+        "x://a.com\n/fr/1\n": ("a.com\n", "/fr/1\n", None, "allow"),
+        long: ("deep.net", long[16:], None, "allow"),
+    }
+    # Repeated rows, and many of a deep url: it counts once and opens no node.
+    given = [*urls, *urls, *[long] * 40]
+    got = against_sql(spark, tmp_path, given, URL_RULES)
+    for i, url in enumerate(given):
+        assert tuple(got[i][c] for c in ("host", "path", "rule", "verdict")) == urls[url]
+
+
+def test_empty_tables_and_strangers(spark):
+    df = spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")
+    names = ("host", "path", "rule", "verdict", "template", "segments", "node", "label", "size")
+    strange = df.withColumns({c: F.lit("x") for c in names})
+    (row,) = uf.judged(strange, URL_RULES).collect()
+    assert (row.host, row.rule, row.template) == ("a.org", "org/", "/**")
+    assert uf.judged(strange.limit(0), URL_RULES).collect() == []
+
+
+def test_the_plan_has_no_python(spark):
+    pages = spark.read.parquet(f"{SF001}/pages.parquet")
+    plan = uf.judged(pages, URL_RULES)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+    assert "ReadSchema: struct<page_id:bigint,url:string>" in plan
