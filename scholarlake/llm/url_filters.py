@@ -160,10 +160,15 @@ def _opened(live: DataFrame, depth: int) -> DataFrame:
             F.max("purity").alias("purity"),
         )
     )
-    total = branches.groupBy("host", "node").agg(F.sum("n").alias("total"))
+    # The struct is another key than those of the sums below: a node of many segments
+    # is split in this join, and combined in each task before it is dealt out again.
+    total = branches.groupBy("host", "node").agg(F.sum("n").alias("total")).select(
+        F.struct("host", "node").alias("parent"), "total"
+    )
     constant = (F.col("n") >= SUPPORT) & (F.col("n") >= SHARE * F.col("total"))
     token = F.when(constant, _escaped(F.col("segment"))).otherwise(kind_of(F.col("segment")))
-    tokens = branches.join(total, ["host", "node"]).withColumn("token", token)
+    tokens = branches.join(total, F.struct("host", "node") == F.col("parent"))
+    tokens = tokens.withColumn("token", token)
     siblings = tokens.groupBy("host", "node", "token").agg(
         *(F.sum(c).alias(c) for c in ("n", "good", "bad")),
         F.array(*(F.sum(F.col("next")[i]) for i in range(len(NEXT)))).alias("next"),
