@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from scholarlake.operators import dedup
 from scholarlake.operators.records import RecordTable, parse_records, table_rows
 from scholarlake.plans.entities import ENTITIES
-from scholarlake.sinks import scratch
+from scholarlake.sinks import scratch, sizing
 from scholarlake.sinks.parquet import table_path, write_table
 from scholarlake.sources.snapshot import FILE_PATTERN, count_files, read_lines
 
@@ -72,7 +72,7 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
-# Settings of a run: files are sized, not made as many as there are cores.
+# Settings of a run: what is shuffled becomes files of a size, not as many as cores.
 RUN_SETTINGS = {**SETTINGS, "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
 
 
@@ -104,11 +104,14 @@ def run(
     pattern: str = FILE_PATTERN,
     stage_dir: str | None = None,
     broadcast_bytes: int = dedup.BROADCAST_BYTES,
+    file_bytes: int | None = None,
 ) -> RunReport:
     """Convert the entities; unknown names are skipped with a warning.
 
     ``stage_dir`` must be shared by all executors.  It defaults to
     spark.checkpoint.dir, or to the output directory where that is unset.
+    ``file_bytes`` is about what a file of a child table has; it defaults to
+    spark.sql.adaptive.advisoryPartitionSizeInBytes.
     """
     names = [name.strip() for name in entities]
     for name in names:
@@ -124,15 +127,18 @@ def run(
         lines = read_lines(spark, input_dir, entity, files_per_entity, pattern)
         tables = ENTITIES[entity]
         if len(tables) == 1:
-            records = dedup.first_per_id(parse_records(lines, tables))
+            records, stored = dedup.first_per_id(parse_records(lines, tables)), None
         else:
-            records = _staged(lines, tables, f"{stage}/{entity}", broadcast_bytes)
+            records, stored = _staged(lines, tables, f"{stage}/{entity}", broadcast_bytes)
 
         def write(table: RecordTable) -> None:
-            path = table_path(output_dir, table.name)
+            files = None
             # The first table has most of a record's bytes; the others are narrow.
-            narrow = table is not tables[0]
-            report.rows[table.name] = write_table(table_rows(records, table), path, narrow)
+            if stored and table is not tables[0]:
+                target = file_bytes or sizing.target_bytes(spark)
+                files = sizing.files_of(spark, stored, lambda r: table_rows(r, table), target)
+            path = table_path(output_dir, table.name)
+            report.rows[table.name] = write_table(table_rows(records, table), path, files)
 
         _together(spark, write, tables)
         files = count_files(spark, input_dir, entity, pattern)
@@ -157,15 +163,16 @@ def stage_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
 
 def _staged(
     lines: DataFrame, tables: Sequence[RecordTable], path: str, broadcast_bytes: int
-) -> DataFrame:
-    """First records, from all records stored once."""
+) -> tuple[DataFrame, sizing.Stored]:
+    """First records, from all records stored once; and what is stored."""
     spark = lines.sparkSession
     stage_records(lines, tables).write.parquet(f"{path}/records")
     # Filtered here and not above, see parse_records.
     staged = spark.read.parquet(f"{path}/records").where("id is not null")
     dedup.duplicated_ids(staged).write.parquet(f"{path}/duplicated")
     duplicated = spark.read.parquet(f"{path}/duplicated")
-    return dedup.keep_first(staged, duplicated, f"{path}/losers", broadcast_bytes)
+    kept = dedup.keep_first(staged, duplicated, f"{path}/losers", broadcast_bytes)
+    return kept, sizing.stored(spark, f"{path}/records")
 
 
 def _together(spark: SparkSession, task: Callable[[T], None], over: Sequence[T]) -> None:

@@ -1,6 +1,7 @@
 """The batch job on small five-entity snapshots."""
 
 import glob
+import hashlib
 import logging
 import os
 import subprocess
@@ -12,7 +13,7 @@ import scholarlake
 from scholarlake import ENTITIES, TABLES, entity_table, read_lines, run
 from scholarlake.__main__ import main
 from scholarlake.plans import job
-from scholarlake.sinks.parquet import write_table
+from scholarlake.sinks import sizing
 from test_tables import AUTHOR, WORK
 
 
@@ -182,18 +183,75 @@ def test_splittable_files(spark, snapshot, options):
     assert sorted(map(tuple, edges)) == sorted((f"W{n}", f"R{n}") for n in range(5000))
 
 
-def test_file_sizes(spark, tmp_path):
-    """Small parts become one file, large ones several; none is made by fewer tasks before that."""
-    many = spark.range(200_000, numPartitions=50).selectExpr("id", "uuid() AS name")
+@pytest.fixture
+def many_files(spark, snapshot):
+    """A hundred files of works whose tables differ in bytes; returns the records."""
+    records = [
+        {
+            "id": f"W{n}",
+            "title": hashlib.sha256(str(n).encode()).hexdigest(),
+            "referenced_works": [f"R{n * 31 % 7919}-{k}" for k in range(20)],
+            "open_access": {"is_oa": True} if n % 2 else {"oa_url": f"http://x/{n}"},
+        }
+        for n in range(20_000)
+    ]
+    for f in range(100):
+        snapshot.add("works", f"2024-{f:03}", "part_000.gz", *records[f::100])
+    return records
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_files_of_child_tables_have_the_wanted_size(spark, snapshot, many_files, options):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    target = 200_000
+    try:
+        report = run(
+            spark, snapshot.root, snapshot.out, ["works"], file_bytes=target, **options
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert report.citation_edges == 20 * len(many_files)
+    counts = {}
+    for table in ENTITIES["works"][1:]:
+        sizes = [os.path.getsize(f) for f in glob.glob(f"{snapshot.out}/{table.name}.parquet/*.parquet")]
+        counts[table.name] = len(sizes)
+        assert max(sizes) < 3 * target
+        assert len(sizes) <= 1 + 2 * sum(sizes) // target
+    assert counts["works_citations"] > 3 and counts["works_locations"] == 1
+
+
+def test_small_tables_are_one_file(spark, snapshot):
+    fill(snapshot)
+    run(spark, snapshot.root, snapshot.out, ["works", "authors"])
+    for name in ("works_citations", "works_topics", "authors_ids"):
+        assert len(glob.glob(f"{snapshot.out}/{name}.parquet/*.parquet")) == 1
+
+
+def test_the_pilot_is_bounded(spark, tmp_path):
     path = str(tmp_path / "t")
-    files = f"{path}/*.parquet"
-    with job._configured(spark):
-        assert write_table(many, path, rebalance=True) == 200_000
-        assert len(glob.glob(files)) == 1
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    spark.range(20_000, numPartitions=200).selectExpr("id", "uuid() AS name").write.parquet(path)
+    stored = sizing.stored(spark, path)
+    assert stored.files == 200 and len(stored.pilot) == sizing.PILOT_FILES
+    assert stored.size == sum(map(os.path.getsize, glob.glob(f"{path}/*.parquet")))
+    few = spark.read.parquet(path).coalesce(3)
+    few.write.parquet(f"{path}-few")
+    assert not sizing.stored(spark, f"{path}-few").pilot
+    # Few files, or records that fit one file, are not measured.
+    most = -(-sizing.stored(spark, f"{path}-few").size // 1000)
+    for where, target, expected in (("-few", 1000, most), ("-few", 1 << 30, 1), ("", 1 << 30, 1)):
+        assert sizing.files_of(spark, sizing.stored(spark, path + where), None, target) == expected
+    # Half the columns, a fraction of the bytes.
+    half = sizing.files_of(spark, stored, lambda r: r.select("id"), 50_000)
+    whole = sizing.files_of(spark, stored, lambda r: r, 50_000)
+    assert abs(whole - stored.size / 50_000) < 0.1 * whole and half < 0.5 * whole
+
+
+def test_target_bytes(spark):
+    for text, size in (("64MB", 64 << 20), ("1m", 1 << 20), ("5kb", 5 << 10), ("300", 300), ("2g", 2 << 30), ("7b", 7)):
+        spark.conf.set(sizing.TARGET, text)
         try:
-            write_table(many, path, rebalance=True)
+            assert sizing.target_bytes(spark) == size
         finally:
-            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    sizes = sorted(os.path.getsize(f) for f in glob.glob(files))
-    assert len(sizes) > 4 and sizes[-1] < 2 * sizes[len(sizes) // 2]
+            spark.conf.unset(sizing.TARGET)

@@ -85,11 +85,12 @@ def test_many_duplicates_are_matched_by_rank(spark, stage, tmp_path):
     assert "hashpartitioning(id" not in text and text.count("Exchange hashpartitioning") == 2
 
 
-def test_files_are_sized_without_narrowing_the_scan(stage):
-    """Nothing coalesces the tasks that read the stage and cut out rows."""
-    text = plan(table_rows(stage, TABLES["works_citations"]).hint("rebalance"))
-    assert "Coalesce" not in text and "REBALANCE" in text
-    assert text.index("REBALANCE") < text.index("Generate") < text.index("FileScan")
+@pytest.mark.parametrize("name", [t.name for t in ENTITIES["works"]])
+def test_sized_tables_shuffle_nothing(stage, name):
+    """Read splits are packed into tasks; no row moves for the size of files."""
+    text = plan(table_rows(stage, TABLES[name]).coalesce(3))
+    assert "Exchange" not in text and "Coalesce 3" in text
+    assert text.index("Coalesce") < text.index("FileScan")
 
 
 def test_the_file_list_is_not_collected(spark, snapshot, monkeypatch):

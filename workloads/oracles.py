@@ -267,6 +267,16 @@ f AS (SELECT 1 AS run, count(*) AS files, CAST(sum(n) AS BIGINT) AS n FROM m
 SELECT run, 'files' AS what, files AS reported, CAST(NULL AS BIGINT) AS found FROM f
 UNION ALL SELECT run, 'publishers', n, n FROM f
 UNION ALL SELECT run, unnest(['authors', 'authors_ids', 'authors_counts_by_year']), 0, 0 FROM f
+""",
+    "job_file_sizes": """
+WITH w AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem),
+c AS (
+  SELECT 'works_locations' AS table_name, count(*) AS n FROM w WHERE k % 6 >= 3
+  UNION ALL SELECT 'works_authorships', 2 * count(*) FROM w
+  UNION ALL SELECT 'works_topics', 3 * count(*) FROM w
+  UNION ALL SELECT 'works_open_access', count(*) FROM w WHERE k % 9 <> 0
+  UNION ALL SELECT 'works_citations', 3 * count(*) FROM w)
+SELECT table_name, n, CAST(0 AS BIGINT) AS oversized, false AS too_many FROM c
 """,
     "job_works_citations": WORKS_CITATIONS,
     "job_works_authorships": WORKS_AUTHORSHIPS,

@@ -18,6 +18,9 @@ from workloads import lines as L
 # Spark names its own files part-00000-..., with a dash.
 SPARK_FILES = "updated_date*/part*.gz"
 
+# About what a file of a child table has in job_file_sizes.
+FILE_BYTES = 256 << 10
+
 # Keys per file in the snapshot of file_scan_limit, and how many files it reads.
 KEYS_PER_FILE = 5_000
 FILES_READ = 2
@@ -224,6 +227,25 @@ def job_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionAll, counts)
 
 
+def job_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per table of the works: its rows, files beyond three times the wanted size, and whether
+    there are more than twice as many files as its bytes need, and one."""
+    out, _ = job(spark, sf_dir, "works", file_bytes=FILE_BYTES)
+    sized = [
+        spark.read.parquet(f"{out}/{table.name}.parquet")
+        .groupBy(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.lit(table.name).alias("table_name"),
+            F.sum("rows").alias("n"),
+            F.count_if(F.col("size") > 3 * FILE_BYTES).alias("oversized"),
+            (F.count(F.lit(1)) > 1 + 2 * F.ceil(F.sum("size") / FILE_BYTES)).alias("too_many"),
+        )
+        for table in scholarlake.ENTITIES["works"][1:]
+    ]
+    return functools.reduce(DataFrame.unionAll, sized)
+
+
 def file_scan_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first files of a snapshot that has KEYS_PER_FILE orders in each."""
     scholarlake.configure(spark)
@@ -301,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "entity_counts": entity_counts,
     "file_scan_limit": file_scan_limit,
     "job_table_counts": job_table_counts,
+    "job_file_sizes": job_file_sizes,
     "job_works_citations": job_table("works_citations", "works"),
     # No broadcast: duplicates are dropped by the shuffle join on ranks.
     "job_works_authorships": job_table("works_authorships", "works", broadcast_bytes=0),
