@@ -20,6 +20,7 @@ INTEGER = "BIGINT"
 BOOLEAN = "BOOLEAN"
 DOUBLE = "DOUBLE"
 DECIMAL = "DECIMAL"
+MIXED = "VARIANT"
 
 
 def at(v: Column, path: str) -> Column:
@@ -63,6 +64,11 @@ def truth(v: Column) -> Column:
     return F.when(F.schema_of_variant(v) == BOOLEAN, F.variant_get(v, "$", "boolean"))
 
 
+def fractional(v: Column) -> Column:
+    """Whether a number in the value may be no 64-bit integer; so may one among other types."""
+    return F.schema_of_variant(v).rlike(f"{DECIMAL}|{DOUBLE}|{MIXED}")
+
+
 def items(v: Column) -> Column:
     """The elements of a JSON array; NULL for anything else."""
     return F.try_variant_get(v, "$", "array<variant>")

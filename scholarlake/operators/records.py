@@ -7,6 +7,7 @@ steps shuffle or store is only what the tables hold.
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -14,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scholarlake.functions import json_numbers as numbers
 from scholarlake.functions import strict_json as js
 from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, infinite, settled, strict, trusted
 
@@ -136,16 +138,48 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
             value = F.when(
                 too_large, F.raise_error(F.concat(F.lit("MALFORMED number: "), line))
             ).otherwise(value)
-        return (js.compact(value) if part == JSON else settled(value, part)).alias(key)
+        return (value if part == JSON else settled(value, part)).alias(key)
 
-    return both.select(
+    read = both.select(
         *map(field, shape),
         "file_key",
         "line_no",
         # Last sort key of first_per_id.  While it is in use, no filter moves
         # below this step.
         F.monotonically_increasing_id().alias("arrival"),
+        F.col("value").alias(ours),
     )
+    return _as_text(read, [key for key, part in shape.items() if part == JSON], ours).drop(ours)
+
+
+def _as_text(records: DataFrame, keys: Sequence[str], line: str) -> DataFrame:
+    """Records with the values of ``keys`` as JSON text.
+
+    VARIANT drops zeros at the end of a fraction, and the sign of -0.  Records that hold a
+    number that is no integer below these keys, which are few, are parsed once more for it.
+    """
+    if not keys:
+        return records
+    negative_zero = F.col(line).rlike(numbers.NEGATIVE_ZERO)
+    doubtful = {
+        key: F.coalesce(negative_zero | js.fractional(F.col(key)), F.lit(False)) for key in keys
+    }
+    any_doubt = functools.reduce(lambda a, b: a | b, doubtful.values())
+    rewritten, exact = f"{line}_rewritten", f"{line}_exact"
+    too_large = F.raise_error(F.concat(F.lit("MALFORMED number: "), F.col(line)))
+    parsed = F.when(numbers.beyond_double(F.col(rewritten)), too_large).otherwise(
+        F.parse_json(rewritten)
+    )
+    again = records.withColumn(
+        rewritten, F.when(any_doubt, numbers.with_doubles(F.col(line)))
+    ).withColumn(exact, F.when(F.col(rewritten).isNotNull(), parsed))
+    texts = {
+        key: F.when(
+            doubt, numbers.shortest(js.compact(js.at(F.col(exact), key)))
+        ).otherwise(js.compact(F.col(key)))
+        for key, doubt in doubtful.items()
+    }
+    return again.withColumns(texts).drop(rewritten, exact)
 
 
 def _sound(value: str) -> Column:

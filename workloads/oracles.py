@@ -222,7 +222,8 @@ FROM e
     "json_text_sorted_keys": """
 SELECT 'C' || c_custkey AS id,
        '{"M":{"k":' || c_custkey || ',"k2":[],"é":true},"a":"' || c_mktsegment || '","a0":'
-       || c_nationkey || ',"z":[1,{"b":null,"y":"' || c_name || '"}]}'
+       || c_nationkey || ',"n":[5.0,100.0,0.1,' || c_custkey || '.5,-0.0,1e30,1' || c_nationkey
+       || '000000.0,2e-7,0.0001,1.8446744073709552e19,"7.0,1E9"]' || ',"z":[1,{"b":null,"y":"' || c_name || '"}]}'
          AS display_name_alternatives
 FROM customer
 """,

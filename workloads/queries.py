@@ -126,12 +126,14 @@ def strict_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_text_sorted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested values as compact JSON text with sorted keys."""
+    """Nested values as compact JSON text with sorted keys; numbers as they must look."""
     scholarlake.configure(spark)
     value = L.fill(
         '{"id":"C%s","display_name_alternatives": {"z": [1, {"y":"%s", "b":null}], "a": "%s",'
-        ' "M": {"k":%s, "é":true, "k2":[]}, "a0":%s} }',
-        "c_custkey", "c_name", "c_mktsegment", "c_custkey", "c_nationkey",
+        ' "M": {"k":%s, "é":true, "k2":[]}, "a0":%s, "n": [5.0,1e2,0.1, %s.50, -0, 1E+30,'
+        ' 1%s000000.0, 2e-7, 0.00010, 18446744073709551616, "7.0,1E9"]} }',
+        "c_custkey", "c_name", "c_mktsegment", "c_custkey", "c_nationkey", "c_custkey",
+        "c_nationkey",
     )
     lines = L.read(
         spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_nationkey"
