@@ -13,7 +13,7 @@ other part between quotes is a string.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,12 +43,27 @@ _BEFORE, _AFTER = r"(?<![0-9.eE+-])", r"(?![0-9.eE])"
 TO_DOUBLE = (
     rf"{_BEFORE}(-?[0-9]+\.[0-9]+|-0|{_above(GREATEST)}|-{_above(-LEAST)}){_AFTER}"
 )
-# A whole number -0, or what looks like one inside a string.
-NEGATIVE_ZERO = rf"[:,\[\s]-0{_AFTER}|^-0{_AFTER}"
+MINUS_ZERO = "-0(?![.0-9])"
 WITH_EXPONENT = r"-?[0-9]+(?:\.[0-9]+)?[eE][+-]?[0-9]+"
 JVM_DOUBLE = r"-?[0-9]+\.[0-9]+E-?[0-9]+"
 
 
+def perhaps(line: Column, known: Sequence[str] = ()) -> Column:
+    """Whether text may hold a number that ``with_doubles`` changes, or one with an exponent.
+
+    Numbers right behind one of the ``known`` keys do not count.  Cheap, and sometimes
+    wrong: strings may hold what looks like such a number.
+    """
+    # The look-behind comes last: it is tried where everything else fits.
+    not_known = "".join(f'(?<!"{key}":)' for key in known)
+    return line.rlike(rf"[:,\[\s]{not_known}(?:-?[0-9]+[.eE]|{MINUS_ZERO}|-?[0-9]{{19}})")
+
+
+def minus_zero(line: Column) -> Column:
+    """Whether text may hold the integer -0, which VARIANT takes for 0."""
+    return line.rlike(rf"[:,\[\s]{MINUS_ZERO}")
+
+
 def _masked(text: Column) -> Column:
     for escape, mask in MASKS:
         text = F.replace(text, F.lit(escape), F.lit(mask))

@@ -86,6 +86,16 @@ def settled(value: Column, shape: Shape) -> Column:
     return F.when(value.isNotNull(), F.struct(*parts))
 
 
+def keys_of(shape: Shape, kind: str) -> set[str]:
+    """The names of the keys that hold values of one kind, at any depth."""
+    if isinstance(shape, list):
+        return keys_of(shape[0], kind)
+    if not isinstance(shape, dict):
+        return set()
+    own = {key for key, part in shape.items() if part == kind}
+    return own.union(*(keys_of(part, kind) for part in shape.values()))
+
+
 def _leaves(
     value: Column, shape: Shape, kind: str, told: bool = False, inside_array: bool = False
 ) -> list:

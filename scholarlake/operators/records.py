@@ -7,7 +7,6 @@ steps shuffle or store is only what the tables hold.
 
 from __future__ import annotations
 
-import functools
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -17,7 +16,18 @@ from pyspark.sql import functions as F
 
 from scholarlake.functions import json_numbers as numbers
 from scholarlake.functions import strict_json as js
-from scholarlake.functions.shape import JSON, TEXT, Shape, ddl, infinite, settled, strict, trusted
+from scholarlake.functions.shape import (
+    JSON,
+    NUMBER,
+    TEXT,
+    Shape,
+    ddl,
+    infinite,
+    keys_of,
+    settled,
+    strict,
+    trusted,
+)
 
 # from_json() accepts more than JSON unless told otherwise.
 STRICT_SYNTAX = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -149,37 +159,52 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
         F.monotonically_increasing_id().alias("arrival"),
         F.col("value").alias(ours),
     )
-    return _as_text(read, [key for key, part in shape.items() if part == JSON], ours).drop(ours)
+    keys = [key for key, part in shape.items() if part == JSON]
+    return _as_text(read, keys, ours, sorted(keys_of(shape, NUMBER))).drop(ours)
 
 
-def _as_text(records: DataFrame, keys: Sequence[str], line: str) -> DataFrame:
-    """Records with the values of ``keys`` as JSON text.
+def _as_text(
+    records: DataFrame, keys: Sequence[str], line: str, known: Sequence[str]
+) -> DataFrame:
+    """Records with the values of ``keys`` as JSON text; ``known`` keys hold numbers.
 
     VARIANT drops zeros at the end of a fraction, and the sign of -0.  Records that hold a
     number that is no integer below these keys, which are few, are parsed once more for it.
     """
     if not keys:
         return records
-    negative_zero = F.col(line).rlike(numbers.NEGATIVE_ZERO)
+    perhaps = numbers.perhaps(F.col(line), known)
     doubtful = {
-        key: F.coalesce(negative_zero | js.fractional(F.col(key)), F.lit(False)) for key in keys
+        key: F.coalesce(
+            perhaps & (js.fractional(F.col(key)) | numbers.minus_zero(F.col(line))), F.lit(False)
+        )
+        for key in keys
     }
-    any_doubt = functools.reduce(lambda a, b: a | b, doubtful.values())
-    rewritten, exact = f"{line}_rewritten", f"{line}_exact"
     too_large = F.raise_error(F.concat(F.lit("MALFORMED number: "), F.col(line)))
-    parsed = F.when(numbers.beyond_double(F.col(rewritten)), too_large).otherwise(
-        F.parse_json(rewritten)
+
+    def exact(key: str) -> Column:
+        def printed(text: Column) -> Column:
+            value = js.compact(js.at(F.parse_json(text), key))
+            return F.when(numbers.beyond_double(text), too_large).otherwise(value)
+
+        # Each step once, and only for these records.
+        return once(once(numbers.with_doubles(F.col(line)), printed), numbers.shortest)
+
+    return records.withColumns(
+        {
+            key: F.when(doubt, exact(key)).otherwise(js.compact(F.col(key)))
+            for key, doubt in doubtful.items()
+        }
     )
-    again = records.withColumn(
-        rewritten, F.when(any_doubt, numbers.with_doubles(F.col(line)))
-    ).withColumn(exact, F.when(F.col(rewritten).isNotNull(), parsed))
-    texts = {
-        key: F.when(
-            doubt, numbers.shortest(js.compact(js.at(F.col(exact), key)))
-        ).otherwise(js.compact(F.col(key)))
-        for key, doubt in doubtful.items()
-    }
-    return again.withColumns(texts).drop(rewritten, exact)
+
+
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that it uses several times, and that is computed once.
+
+    Spark may compute a part that occurs several times in advance, for all rows, even
+    where it stands below a condition that few rows meet.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
 def _sound(value: str) -> Column:
