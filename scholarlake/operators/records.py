@@ -84,15 +84,10 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
     """
     shape = {"id": TEXT, **record_shape(tables)}
     ours = f"_{uuid.uuid4().hex}"
+    enclosed, one_value = _enclosing(ours)
     fields = ", ".join(f"`{key}`: {ddl(part)}" for key, part in shape.items())
     variants = ", ".join(f"`{key}`: variant" for key in shape)
 
-    def enclosed(line: Column) -> Column:
-        return F.concat(F.lit(f'{{"{ours}":['), line, F.lit(f',{{"{ours}":true}}]}}'))
-
-    def one_value(array: Column) -> Column:
-        return (F.size(array) == 2) & F.coalesce(array[1][ours], F.lit(False))
-
     parsed = lines.withColumn(
         "typed",
         F.from_json(
@@ -117,7 +112,7 @@ def parse_records(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
         second = second | is_unclear
 
     line = F.col("value")
-    is_object = F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
+    is_object = _is_object(line)
     again = F.from_json(
         F.when(is_object, enclosed(line)),
         f"`{ours}` array<struct<{variants}, `{ours}`: boolean>>",
@@ -207,13 +202,90 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
+def _enclosing(ours: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
+    """What puts a line into an array of ``ours``, and what tells that it is one value there."""
+
+    def enclosed(line: Column) -> Column:
+        return F.concat(F.lit(f'{{"{ours}":['), line, F.lit(f',{{"{ours}":true}}]}}'))
+
+    def one_value(array: Column) -> Column:
+        return (F.size(array) == 2) & F.coalesce(array[1][ours], F.lit(False))
+
+    return enclosed, one_value
+
+
+def _is_object(line: Column) -> Column:
+    return F.ltrim(line, F.lit(JSON_SPACE)).startswith("{")
+
+
+def _half_pair(line: Column) -> Column:
+    """Whether one of a line's escapes is half a surrogate pair."""
+    broken = F.regexp_replace(line, WHOLE_ESCAPES, "").rlike(HALF_ESCAPE)
+    return (F.contains(line, F.lit("\\ud")) | F.contains(line, F.lit("\\uD"))) & broken
+
+
 def _sound(value: str) -> Column:
     """The line, if its bytes are UTF-8 and its escapes whole; else the run fails."""
     line = F.validate_utf8(F.col(value))
-    broken = F.regexp_replace(line, WHOLE_ESCAPES, "").rlike(HALF_ESCAPE)
-    escaped = F.contains(line, F.lit("\\ud")) | F.contains(line, F.lit("\\uD"))
     error = F.raise_error(F.concat(F.lit("MALFORMED line, half a surrogate pair: "), line))
-    return F.when(escaped & broken, error).otherwise(line)
+    return F.when(_half_pair(line), error).otherwise(line)
+
+
+# Why a line fails a run.
+NOT_UTF8 = "bytes that are not UTF-8"
+HALF_PAIR = "half a surrogate pair"
+NOT_ONE_VALUE = "not one JSON value"
+TOO_LARGE = "a number beyond double range"
+
+
+def malformed_lines(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFrame:
+    """(file_key, line_no, reason): the lines on which ``parse_records`` fails the run.
+
+    One scan without a shuffle.  Every line is read from VARIANT, whose parser gives NULL
+    for what is no JSON; the rule of one value per line is that of ``parse_records``.
+    """
+    shape = {"id": TEXT, **record_shape(tables)}
+    ours = f"_{uuid.uuid4().hex}"
+    enclosed, one_value = _enclosing(ours)
+    variants = ", ".join(f"`{key}`: variant" for key in shape)
+    line = F.col("value")
+    unsound = F.when(~F.is_valid_utf8(line), NOT_UTF8).when(_half_pair(line), HALF_PAIR)
+    sound = lines.withColumn("reason", unsound).withColumn(
+        "sound", F.when(F.col("reason").isNull() & ~line.rlike(BLANK_LINE), line)
+    )
+    sound_line = F.col("sound")
+    objects = F.from_json(
+        F.when(_is_object(sound_line), enclosed(sound_line)),
+        f"`{ours}` array<struct<{variants}, `{ours}`: boolean>>, {CORRUPT} string",
+        {**STRICT_SYNTAX, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    others = F.try_parse_json(
+        F.when(~_is_object(sound_line), F.concat(F.lit("["), sound_line, F.lit(f',"{ours}"]')))
+    )
+    read = sound.withColumns({"object": objects, "other": others})
+    found = F.col("object")[ours]
+    whole = F.when(
+        _is_object(sound_line), F.col("object")[CORRUPT].isNull() & one_value(found)
+    ).otherwise(js.text(js.element(F.col("other"), 1)) == ours)
+    record = F.get(found, F.lit(0))
+    too_large = F.lit(False)
+    for key, part in shape.items():
+        if part == JSON:
+            own = once(numbers.with_doubles(sound_line), numbers.beyond_double)
+            own = js.fractional(record[key]) & own
+        else:
+            own = infinite(strict(record[key], part), part)
+        if own is not None:
+            too_large = too_large | F.coalesce(own, F.lit(False))
+    reason = (
+        F.when(F.col("reason").isNotNull() | sound_line.isNull(), F.col("reason"))
+        .when(~F.coalesce(whole, F.lit(False)), NOT_ONE_VALUE)
+        .when(_is_object(sound_line) & too_large, TOO_LARGE)
+    )
+    return (
+        read.select("file_key", "line_no", reason.alias("reason"))
+        .where(F.col("reason").isNotNull())
+    )
 
 
 def table_rows(records: DataFrame, table: RecordTable) -> DataFrame:

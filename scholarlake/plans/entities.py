@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scholarlake.functions import strict_json as js
 from scholarlake.functions.shape import JSON, NUMBER, SELDOM_TEXT, TEXT, TRUTH, WHOLE
+from scholarlake.operators import records
 from scholarlake.operators.dedup import first_per_id
 from scholarlake.operators.records import RecordTable, parse_records, table_rows
 
@@ -430,3 +431,8 @@ def entity_table(lines: DataFrame, name: str) -> DataFrame:
     """
     table = TABLES[name]
     return table_rows(first_per_id(parse_records(lines, [table])), table)
+
+
+def malformed_lines(lines: DataFrame, entity: str) -> DataFrame:
+    """(file_key, line_no, reason): the lines that would fail a run of this entity."""
+    return records.malformed_lines(lines, ENTITIES[entity])

@@ -204,6 +204,13 @@ WHERE place = 1
     "blank_and_bad_id_filter": """
 SELECT 'O' || o_orderkey AS id FROM orders
 UNION SELECT 'R' || o_orderkey FROM orders
+""",
+    "malformed_line_report": """
+WITH kinds AS (
+  SELECT unnest(range(12)) AS kind, 'not one JSON value' AS reason
+  UNION ALL VALUES (12, 'half a surrogate pair'), (13, 'a number beyond double range'),
+    (14, 'a number beyond double range'), (21, 'bytes that are not UTF-8'))
+SELECT o_orderkey * 100 + kind AS line_no, reason FROM orders, kinds
 """,
     "strict_scalars": """
 WITH e AS (

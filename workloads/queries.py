@@ -21,6 +21,25 @@ SPARK_FILES = "updated_date*/part*.gz"
 # About what a file of a child table has in job_file_sizes.
 FILE_BYTES = 256 << 10
 
+# Lines that fail a run, with the order's key, and why.
+MALFORMED = (
+    ('{"id":"O%s"', "not one JSON value"),
+    ("{'id':'O%s'}", "not one JSON value"),
+    ('{"id":"O%s",}', "not one JSON value"),
+    ('{"id":"O%s","works_count":NaN}', "not one JSON value"),
+    ('{"id":"O%s","unread":01}', "not one JSON value"),
+    ('{"id":"O%s"} x', "not one JSON value"),
+    ('{"id":"O%s"},{"id":"b"}', "not one JSON value"),
+    ('{"id":"O%s"}]} {', "not one JSON value"),
+    ("[%s", "not one JSON value"),
+    ("%s 2", "not one JSON value"),
+    ('"%s" y', "not one JSON value"),
+    ("null%s", "not one JSON value"),
+    ('{"id":"O%s\\ud800"}', "half a surrogate pair"),
+    ('{"id":"O%s","geo":{"latitude":1e999}}', "a number beyond double range"),
+    ('{"id":"O%s","display_name_acronyms":[-1e999]}', "a number beyond double range"),
+)
+
 # Keys per file in the snapshot of file_scan_limit, and how many files it reads.
 KEYS_PER_FILE = 5_000
 FILES_READ = 2
@@ -92,6 +111,24 @@ def blank_and_bad_id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scholarlake.entity_table(lines, "publishers").select("id")
 
 
+def malformed_line_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order gives a line of every kind of MALFORMED and some that are fine."""
+    scholarlake.configure(spark)
+    fine = ['{"id":"O%s"}', "%s", "[%s]", ' "%s"', '{"id":"O%s","unread":1e999}']
+    kinds = [*(template for template, _ in MALFORMED), *fine]
+    texts = [L.fill(template, "o_orderkey") for template in kinds]
+    bytes_of_none = F.concat(F.encode(texts[0], "UTF-8"), F.unhex(F.lit("FF"))).cast("string")
+    lines = L.dealt(L.read(spark, sf_dir, "orders", "o_orderkey"), "o_orderkey").select(
+        F.lit(0).cast("long").alias("file_key"),
+        F.posexplode(F.array(*texts, F.lit(" \t"), bytes_of_none)).alias("kind", "value"),
+        "o_orderkey",
+    )
+    numbered = lines.select(
+        "file_key", (F.col("o_orderkey") * 100 + F.col("kind")).alias("line_no"), "value"
+    )
+    return scholarlake.malformed_lines(numbered, "institutions").select("line_no", "reason")
+
+
 def strict_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An integer, a decimal, a string and an object, each read as every type."""
     scholarlake.configure(spark)
@@ -320,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_references": document_references,
     "dedup_first_per_id": dedup_first_per_id,
     "blank_and_bad_id_filter": blank_and_bad_id_filter,
+    "malformed_line_report": malformed_line_report,
     "strict_scalars": strict_scalars,
     "json_text_sorted_keys": json_text_sorted_keys,
     "entity_counts": entity_counts,
