@@ -34,9 +34,9 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out, (left, total, removed) = substring_dedup.without_repeats(docs, whole=True)
+    out, (left, total, removed) = substring_dedup.without_repeats(docs)
     return out.select(
-        "doc_id", F.col(left).alias("text"), F.col(total).alias("n_sentences"),
+        "doc_id", F.col(left).alias("text"), F.col(total).alias("n_pieces"),
         F.col(removed).alias("n_removed"),
     )
 

@@ -1,25 +1,19 @@
-"""Repeated passages: every run of consecutive sentences, hashed and joined globally.
+"""Repeated passages: runs of consecutive pieces of sentences, hashed and joined globally.
 
 A sentence ends at a line feed, or at one of ``.!?`` that white space follows
 before the next word.  Words are those of ASCII letters, digits and everything
-beyond ASCII, lower-cased, so case and punctuation do not matter.  A sentence of
-more than 40 words is also cut after words whose hash is a multiple of eight,
-which falls at the same words wherever a passage stands.
-
-From every sentence on, the shortest run of at least ``sentences`` sentences and
-``words`` words is hashed to 128 bits.  The first occurrence of a run is the one
-in the smallest row key (doc_id, hash of the text) and there the first place;
-all others are repeated, also within a text.  Sentences inside a repeated run
-that is not the first are removed, with the characters up to the next word.
-
-That is ``without_repeats`` as such.  With ``whole``, as the query and the pipeline
-call it, every sentence is cut into pieces by its words alone: after words whose
-hash is a multiple of eight or the smallest of the 17 around, however long the
-sentence is.  From every piece on, and up to every piece, the shortest run of at
-least ``words`` words is hashed, be it one piece or many.  So a passage of that many
-words that begins and ends with sentences is found from end to end; any other one
-from its first cut to its last, if there are as many words between them.  What is
-said of sentences below then holds for pieces, the counts included.
+beyond ASCII, lower-cased, so case and punctuation do not matter.  So that a passage is
+also found where its host's sentences begin and end elsewhere, sentences are cut into
+pieces by their words alone: after words whose hash is a multiple of eight or the
+smallest of the 17 around.  Pieces, not sentences, are what is counted and removed.
+
+From every piece on, and up to every piece, the shortest run of at least ``least``
+words is hashed to 128 bits, be it one piece or many.  The first occurrence of a run
+is the one in the smallest row key (doc_id, hash of the text) and there the first
+place; all others are repeated, also within a text.  Pieces inside a repeated run that
+is not the first are removed, with the characters up to the next word.  So a passage of
+that many words that begins and ends with sentences is removed from end to end; any
+other one from its first cut to its last, if there are as many words between them.
 
 Null texts stay null, texts without words and shorter texts than a run stay as
 they are.  Repeated rows have one key and get equal results: they are one
@@ -37,10 +31,10 @@ from scholarlake.llm.bitmap import bitmap, found
 from scholarlake.llm.common import fresh, map_batches, row_key, stored
 from scholarlake.llm.tokens import Words, blocks, bytes_of, span_hashes, words
 
-SENTENCES = 3
 WORDS = 25
-LONG_SENTENCE = 40
 AROUND = 8  # words before and behind one that a piece may end with
+# Bits of the filter of repeated hashes, as powers of two: 128 KB to 16 MB.
+LEAST_BITS, MOST_BITS = 20, 27
 
 _LINE = np.zeros(256, np.int32)
 _LINE[ord("\n")] = 1
@@ -63,15 +57,11 @@ def sentence_ends(w: Words) -> np.ndarray:
     ends |= (between(_STOP) > 0) & (between(_SPACE) > 0)
     last = w.first[1:][w.counts > 0] - 1
     ends[last] = True
-    # Over-long sentences: more cuts, at words that decide for themselves.
-    at = np.flatnonzero(ends)
-    lengths = np.diff(np.concatenate([[-1], at]))
-    in_long = np.repeat(lengths > LONG_SENTENCE, lengths)
-    return ends | (in_long & (w.hash % np.uint64(8) == 0))
+    return ends
 
 
 def piece_ends(w: Words) -> np.ndarray:
-    """For each word whether a piece ends with it: sentences, cut by words alone."""
+    """For each word whether a piece ends with it."""
     ends = sentence_ends(w) | (w.hash % np.uint64(8) == 0)
     width = 2 * AROUND + 1
     if len(w.hash) >= width:
@@ -82,8 +72,11 @@ def piece_ends(w: Words) -> np.ndarray:
     return ends
 
 
-def whole_runs(w: Words, least: int):
-    """Like ``runs``: the shortest runs that begin with a piece, and those that end with one."""
+def runs(w: Words, least: int):
+    """First and last piece of every run; begin and end word of every piece.
+
+    They are the shortest runs that begin with a piece, and those that end with one.
+    """
     end = np.flatnonzero(piece_ends(w)) + 1
     begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
     count = len(end)
@@ -97,33 +90,13 @@ def whole_runs(w: Words, least: int):
     return first[same], last[same], begin, end
 
 
-def runs(w: Words, sentences: int, least: int):
-    """First and last sentence of every run; begin and end word of every sentence."""
-    end = np.flatnonzero(sentence_ends(w)) + 1
-    begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
-    count = len(end)
-    first = np.arange(count)
-    last = np.maximum(first + sentences - 1, np.searchsorted(end, begin + least))
-    inside = last < count
-    first, last = first[inside], last[inside]
-    of = w.of
-    same = of[begin[first]] == of[begin[last]] if count else inside
-    return first[same], last[same], begin, end
-
-
-def _sentences_of(w: Words, begin: np.ndarray) -> np.ndarray:
-    """The number of the first sentence of each text; one more for the end."""
+def _pieces_of(w: Words, begin: np.ndarray) -> np.ndarray:
+    """The number of the first piece of each text; one more for the end."""
     return np.searchsorted(begin, w.first)
 
 
-def run_table(
-    docs: DataFrame,
-    sentences: int,
-    least: int,
-    whole: bool = False,
-    known: np.ndarray | None = None,
-) -> DataFrame:
-    """(k1, k2, place, last, h1, h2): every run, by the numbers of its sentences.
+def run_table(docs: DataFrame, least: int, known: np.ndarray | None = None) -> DataFrame:
+    """(k1, k2, place, last, h1, h2): every run, by the numbers of its pieces.
 
     With a filter, only the runs whose first hash it may hold.
     """
@@ -134,7 +107,7 @@ def run_table(
         out: dict[str, list] = {c: [] for c in ("k1", "k2", "place", "last", "h1", "h2")}
         for low, high in blocks(texts):
             w = words(texts[low:high])
-            first, last, begin, end = whole_runs(w, least) if whole else runs(w, sentences, least)
+            first, last, begin, end = runs(w, least)
             hashes = [span_hashes(w.hash, begin[first], end[last], which) for which in (0, 1)]
             if known is not None:
                 may = found(known, hashes[0])
@@ -142,7 +115,7 @@ def run_table(
             if not len(first):
                 continue
             doc = w.of[begin[first]]
-            base = _sentences_of(w, begin)[doc]
+            base = _pieces_of(w, begin)[doc]
             out["k1"].append(k1[low + doc])
             out["k2"].append(k2[low + doc])
             out["place"].append((first - base).astype(np.int32))
@@ -156,19 +129,25 @@ def run_table(
     )
 
 
-def repeated(
-    docs: DataFrame, sentences: int = SENTENCES, least: int = WORDS, whole: bool = False
-) -> DataFrame:
-    """(k1, k2, spans): per text the runs that occurred before, as [first, last] sentences."""
+def filter_bits(hashes: int) -> int:
+    """How many bits a filter of so many hashes has: sixteen each, within bounds."""
+    return min(MOST_BITS, max(LEAST_BITS, (16 * hashes).bit_length()))
+
+
+def repeated(docs: DataFrame, least: int = WORDS) -> DataFrame:
+    """(k1, k2, spans): per text the runs that occurred before, as [first, last] pieces."""
     k1, k2 = row_key()
     keyed = docs.select("text", k1.alias("k1"), k2.alias("k2"))
-    every = run_table(keyed, sentences, least, whole)
-    if whole:
-        # There are twice as many runs, most of them once: only those whose hash
-        # may be there again are dealt out with their places.  A full filter lets
-        # more pass and changes no result.
-        again = every.groupBy("h1").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-        every = run_table(keyed, sentences, least, whole, bitmap(again, "h1"))
+    # Most runs occur once: only those whose hash may be there again are dealt out
+    # with their places.  A filter that is too full lets more pass and changes no result.
+    again = stored(
+        run_table(keyed, least)
+        .groupBy("h1")
+        .agg(F.count(F.lit(1)).alias("times"))
+        .where("times > 1")
+        .select("h1")
+    )
+    every = run_table(keyed, least, bitmap(again, "h1", filter_bits(again.count())))
     # Combined in each task first: a run that fills a third of the input sends
     # one row per task.
     # Stored, so that the join below has a shuffle on either side and Spark can
@@ -191,21 +170,16 @@ def repeated(
 
 
 def without_repeats(
-    docs: DataFrame,
-    sentences: int = SENTENCES,
-    least: int = WORDS,
-    text: str = "text",
-    whole: bool = False,
+    docs: DataFrame, least: int = WORDS, text: str = "text"
 ) -> tuple[DataFrame, list[str]]:
     """``docs`` with three columns more, and their names.
 
-    They are the text that is left, the number of sentences, and the number of
-    removed ones.
+    They are the text that is left, the number of pieces, and the number of removed ones.
     """
-    names = fresh(docs, "text_left", "n_sentences", "n_removed")
+    names = fresh(docs, "text_left", "n_pieces", "n_removed")
     k1, k2, spans = fresh(docs, "k1", "k2", "spans")
     one, two = row_key()
-    again = repeated(docs, sentences, least, whole)
+    again = repeated(docs, least)
     again = again.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(spans))
     joined = docs.withColumns({k1: one, k2: two}).join(again, [k1, k2], "left").drop(k1, k2)
     schema = ", ".join(
@@ -220,9 +194,9 @@ def without_repeats(
         left, counts, removed = [], [], []
         for low, high in blocks(texts):
             w = words(texts[low:high])
-            end = np.flatnonzero(piece_ends(w) if whole else sentence_ends(w)) + 1
+            end = np.flatnonzero(piece_ends(w)) + 1
             begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
-            of_text = _sentences_of(w, begin)
+            of_text = _pieces_of(w, begin)
             for i in range(high - low):
                 count = int(of_text[i + 1] - of_text[i])
                 counts.append(count)
@@ -235,7 +209,7 @@ def without_repeats(
                     gone[span["place"]] += 1
                     gone[span["last"] + 1] -= 1
                 gone = np.cumsum(gone)[:count] > 0
-                # A sentence reaches to the first word of the next one.
+                # A piece reaches to the first word of the next one.
                 edges = w.start[begin[of_text[i] : of_text[i + 1]]] - w.text[i]
                 edges = [*edges.tolist(), len(texts[low + i])]
                 own = texts[low + i]
@@ -257,7 +231,7 @@ def stripped(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where there is one, is counted anew.
     """
-    out, (left, total, removed) = without_repeats(docs, whole=True)
+    out, (left, total, removed) = without_repeats(docs)
     changed = {"text": F.col(left)}
     if "n_chars" in docs.columns:
         again = F.char_length(left).cast(docs.schema["n_chars"].dataType)

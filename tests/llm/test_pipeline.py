@@ -12,7 +12,6 @@ import test_ngram_join
 import test_packing
 import test_substring_dedup
 from samples import SF001
-from scholarlake.llm import substring_dedup
 from scholarlake.llm.common import stored, table
 
 
@@ -54,10 +53,11 @@ def test_one_document_of_each_group_stays(stages):
 
 def test_repeats_are_cut_out(stages):
     before, after = stages["substring_dedup"]
-    k1, k2 = substring_dedup.row_key()
-    rows = [(r.a, r.b, r.text) for r in before.select(k1.alias("a"), k2.alias("b"), "text").collect()]
     expected = {
-        doc_id: left for doc_id, left, total, removed in test_substring_dedup.plain(rows)
+        doc_id: left
+        for doc_id, left, total, removed in test_substring_dedup.plain(
+            test_substring_dedup.keyed(before)
+        )
         if not removed or removed < total
     }
     assert texts(after) == expected
@@ -91,13 +91,13 @@ def test_empty_documents(spark, tmp_path):
 
 def test_registered():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert driver.queries()["pipeline"] is corpus_pipeline.run
     for name in names:
         assert len(inspect.signature(driver.queries()[name]).parameters) == 2
 
 
-@pytest.mark.parametrize("name", ["op3_decontamination", "op10_ngram_jaccard"])
+@pytest.mark.parametrize("name", ["op3_decontamination", "op10_ngram_jaccard", "op11_hard_negatives"])
 def test_against_sql(spark, name):
     from oracle import compare
 

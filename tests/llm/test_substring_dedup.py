@@ -1,64 +1,80 @@
-"""Against plain Python: sentences as lists of words, runs as tuples."""
+"""Against plain Python: pieces as lists of words, runs as tuples of words."""
 
+import functools
 import re
 
-import numpy as np
 import pytest
 
 from samples import ODD, SF001
 from scholarlake.llm import substring_dedup as sd
+from scholarlake.llm.queries import QUERIES
 from scholarlake.llm.tokens import words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 
 
-def sentences(text):
-    """(begin, words) of each sentence; the next one's begin is its end."""
-    found = list(WORD.finditer((text or "").translate(LOWER)))
-    out, own, begin = [], [], None
+def sentence_ends(text, found):
+    """For each word whether a sentence ends with it."""
+    out = []
     for i, m in enumerate(found):
-        begin = m.start() if begin is None else begin
-        own.append(m.group())
         last = i + 1 == len(found)
         gap = text[m.end() : len(text) if last else found[i + 1].start()]
-        if last or "\n" in gap or (re.search(r"[.!?]", gap) and re.search(r"[ \t-\r]", gap)):
+        stop = re.search(r"[.!?]", gap) and re.search(r"[ \t-\r]", gap)
+        out.append(bool(last or "\n" in gap or stop))
+    return out
+
+
+@functools.cache
+def hash_of(word):
+    """The library's: which words a piece ends with is its choice."""
+    return int(words([word.encode()]).hash[0])
+
+
+def pieces(text):
+    """(begin, words) of each piece; the next one's begin is its end."""
+    text = text or ""
+    found = list(WORD.finditer(text.translate(LOWER)))
+    hashes = [hash_of(m.group()) for m in found]
+    out, own, begin = [], [], None
+    for i, (m, end) in enumerate(zip(found, sentence_ends(text, found), strict=True)):
+        begin = m.start() if begin is None else begin
+        own.append(m.group())
+        around = hashes[i - sd.AROUND : i + sd.AROUND + 1] if i >= sd.AROUND else []
+        least = len(around) == 2 * sd.AROUND + 1 and hashes[i] == min(around)
+        if end or hashes[i] % 8 == 0 or least:
             out.append((begin, own))
             own, begin = [], None
-    # Over-long ones are cut after words that decide by their hash.
-    cut = []
-    for begin, own in out:
-        if len(own) <= sd.LONG_SENTENCE:
-            cut.append((begin, own))
-            continue
-        starts = [m.start() for m in found if m.start() >= begin][: len(own)]
-        hashes = words([w.encode() for w in own]).hash
-        at = 0
-        for i, h in enumerate(hashes):
-            if int(h) % 8 == 0 or i + 1 == len(own):
-                cut.append((starts[at], own[at : i + 1]))
-                at = i + 1
-    return cut
-
-
-def key_of(row):
-    return row["k1"], row["k2"]
-
-
-def plain(rows, least_sentences=sd.SENTENCES, least_words=sd.WORDS):
-    """(text left, sentences, removed) of rows (k1, k2, text); repeated rows are one."""
+    return out
+
+
+def shortest_runs(lengths, least):
+    """[i, j) of the shortest runs of at least so many words from, and up to, every piece."""
+    out = set()
+    for i in range(len(lengths)):
+        total = 0
+        for j in range(i, len(lengths)):
+            total += lengths[j]
+            if total >= least:
+                out.add((i, j + 1))
+                break
+        total = 0
+        for h in range(i, -1, -1):
+            total += lengths[h]
+            if total >= least:
+                out.add((h, i + 1))
+                break
+    return out
+
+
+def plain(rows, least=sd.WORDS):
+    """(doc_id, text left, pieces, removed) of rows (k1, k2, text); repeated rows are one."""
     texts = {(k1, k2): text for k1, k2, text in rows}
-    parts = {key: sentences(text) for key, text in texts.items()}
+    parts = {key: pieces(text) for key, text in texts.items()}
     runs = []
     for key, own in parts.items():
-        for i in range(len(own)):
-            total, j = 0, i
-            while j < len(own) and (j - i < least_sentences or total < least_words):
-                total += len(own[j][1])
-                j += 1
-            if j - i >= least_sentences and total >= least_words:
-                run = tuple(w for _, s in own[i:j] for w in s)
-                runs.append((run, key, i, j))
+        for i, j in shortest_runs([len(w) for _, w in own], least):
+            runs.append((tuple(w for _, s in own[i:j] for w in s), key, i, j))
     first = {}
     for run, key, i, _ in runs:
         first[run] = min(first.get(run, (key, i)), (key, i))
@@ -78,19 +94,37 @@ def plain(rows, least_sentences=sd.SENTENCES, least_words=sd.WORDS):
     return sorted(out, key=repr)
 
 
-def check(df, **options):
+def keyed(df):
     k1, k2 = sd.row_key()
-    rows = [(r.a, r.b, r.text) for r in df.select(k1.alias("a"), k2.alias("b"), "text").collect()]
+    return [(r.a, r.b, r.text) for r in df.select(k1.alias("a"), k2.alias("b"), "text").collect()]
+
+
+def check(df, **options):
     out, (left, total, removed) = sd.without_repeats(df, **options)
     assert out.columns == [*df.columns, left, total, removed]
     got = [(r["doc_id"] or 0, r[left], r[total], r[removed]) for r in out.collect()]
-    assert sorted(got, key=repr) == plain(rows, *options.values())
+    assert sorted(got, key=repr) == plain(keyed(df), *options.values())
     return got
 
 
-def test_documents(spark):
-    got = check(spark.read.parquet(f"{SF001}/documents.parquet"))
-    assert any(0 < removed < total for _, _, total, removed in got)
+def test_the_registered_query(spark):
+    got = QUERIES["op2_substring_dedup"](spark, SF001).collect()
+    expected = plain(keyed(spark.read.parquet(f"{SF001}/documents.parquet")))
+    assert sorted(map(tuple, got), key=repr) == expected
+    assert any(0 < r.n_removed < r.n_pieces for r in got)
+
+
+@pytest.mark.parametrize("most", [1, 40])
+def test_any_filter_gives_the_same(table, monkeypatch, most):
+    monkeypatch.setattr(sd, "MOST_BITS", 6 + most // 4)
+    monkeypatch.setattr(sd, "LEAST_BITS", 6)
+    check(table([(i, f"Own word{i}. {P} Own end{i}.", "", "") for i in range(9)]))
+
+
+def test_filter_bits():
+    assert sd.filter_bits(0) == sd.LEAST_BITS and sd.filter_bits(10**12) == sd.MOST_BITS
+    for n in (10**5, 10**6):
+        assert 16 * n <= 1 << sd.filter_bits(n) <= 32 * n
 
 
 P = (
@@ -115,13 +149,14 @@ def test_passages(table):
     got = {(i, left): removed for i, left, _, removed in check(table(rows))}
     assert (13, "") in got
     assert got[12, "Quite another document\nwith other words behind it."] > 5
+    assert any(i == 11 and not removed for (i, _), removed in got.items())
     kept = table(rows)
     assert 13 not in {r.doc_id for r in sd.stripped(kept).collect()}
     assert sd.stripped(kept).columns == kept.columns
 
 
 def test_repeats_inside_a_text_and_small_limits(table):
-    check(table([(1, "a. a. a. a. b.", "", ""), (2, "b. a. a. c", "", "")]), sentences=2, least=2)
+    check(table([(1, "a. a. a. a. b.", "", ""), (2, "b. a. a. c", "", "")]), least=2)
 
 
 def test_empty_table(table):
@@ -130,5 +165,5 @@ def test_empty_table(table):
 
 @pytest.mark.parametrize("text", ["", "x", "a. b\nc! d", "3.5 is no end. But this is."])
 def test_sentence_ends(text):
-    ends = np.flatnonzero(sd.sentence_ends(words([text.encode()])))
-    assert len(ends) == len(sentences(text))
+    found = list(WORD.finditer(text))
+    assert sd.sentence_ends(words([text.encode()])).tolist() == sentence_ends(text, found)

@@ -19,7 +19,7 @@ def passage(lengths, seed=0):
 
 
 def left_of(df):
-    out, (left, total, removed) = sd.without_repeats(df, whole=True)
+    out, (left, total, removed) = sd.without_repeats(df)
     return {r.doc_id: (r[left], r[total], r[removed]) for r in out.collect()}
 
 
@@ -73,7 +73,7 @@ def test_words_in_a_circle_are_cut(table, period):
 def test_runs_against_plain():
     texts = [passage((3, 4, 30, 1, 9, 50), 3), "", passage((2, 2), 4), passage((26,), 5)]
     w = words([t.encode() for t in texts])
-    first, last, begin, end = sd.whole_runs(w, 25)
+    first, last, begin, end = sd.runs(w, 25)
     of, expected = w.of, set()
     for i in range(len(begin)):
         for j in range(i, len(begin)):
