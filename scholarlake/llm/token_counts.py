@@ -41,9 +41,10 @@ LOOKAHEAD = 2  # characters that PATTERN sees beyond a match
 LEAF = 64  # pre-tokens
 CACHE = 300_000  # pre-tokens whose counts a task remembers
 
-# What the query replaces, and by what.
+# What the query replaces, and by what.  Long runs are read once: an address begins with
+# its run, and nothing that was read is given back.
 REDACTIONS = {
-    "EMAIL": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
+    "EMAIL": r"(?<![\w.+-])[\w.+-]++@[\w-]++(?:\.[\w-]++)++",
     "SECRET": r"(?:[Pp]assword|[Tt]oken|[Ss]ecret|[Aa][Pp][Ii][_-]?[Kk]ey)\s*[=:]\s*\S+",
     "IP": r"\b\d{1,3}(?:\.\d{1,3}){3}\b",
     "PHONE": r"\+\d[\d ()-]{6,}\d",
@@ -182,10 +183,12 @@ class CountTree:
     def _splice(self, leaf: int, skip: int, old: list[tuple[int, str]], new: list[str]) -> None:
         self.reencoded += len(new)
         last = old[-1][0] if old else leaf
+        gone = [0] * (last - leaf + 1)
+        for i, _ in old:
+            gone[i - leaf] += 1
         for i in range(leaf, last + 1):
-            mine = sum(j == i for j, _ in old)
             start = skip if i == leaf else 0
-            self.leaves[i][start : start + mine] = new if i == leaf else []
+            self.leaves[i][start : start + gone[i - leaf]] = new if i == leaf else []
             self._measure(i, self.leaves[i])
         if len(self.leaves[leaf]) > 4 * LEAF:
             self._build([piece for own in self.leaves for piece in own])

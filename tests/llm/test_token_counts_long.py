@@ -1,0 +1,64 @@
+"""Very long runs: time in proportion to their length, and the plain result."""
+
+import random
+import time
+
+import pytest
+
+from scholarlake.llm import token_counts as tc
+
+M = 1 << 20
+R = random.Random(1)
+RUNS = {
+    "letters": "abcdefghij" * (M // 10) + ":1",
+    "base64": "".join(R.choices("ABCDefgh0123+/", k=M)) + ":",
+    "hex": "a1" * (M // 2),
+    "digits": "7" * M,
+    "dots": "a." * (M // 2) + "@",
+    "signs": "a@" * (M // 2),
+    "plus": "+1 " * (M // 3),
+    "spaces": " " * M + ":1",
+    "keys": "token " * (M // 6) + ":",
+    "address": "a.b-" * (M // 4) + "@x.yz",
+    "domain": "a@" + "b." * (M // 2) + "c",
+}
+
+
+@pytest.fixture(scope="module")
+def counter():
+    with open(tc.VOCABULARY, "rb") as f:
+        return tc.Counter(f.read())
+
+
+def plain(text, edits):
+    for begin, end, replacement in reversed(edits):
+        text = text[:begin] + replacement + text[end:]
+    return text
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_edits_are_found_in_time(name):
+    pattern = tc.redactions()
+    start = time.process_time()
+    edits = tc.edits_of(RUNS[name], pattern)
+    assert time.process_time() - start < 1
+    assert name == "base64" or len(edits) == (name in ("digits", "address", "domain"))
+
+
+@pytest.mark.parametrize("name", ["digits", "address", "domain"])
+def test_an_edit_over_many_pre_tokens(counter, name):
+    text = f"Some words before {RUNS[name]} and behind, mail me@x.org or call +49 30 1234567."
+    edits = tc.edits_of(text, tc.redactions())
+    start = time.process_time()
+    tree = tc.CountTree(counter.cut(text), counter)
+    for edit in reversed(edits):
+        tree.edit(*edit)
+    assert time.process_time() - start < 5
+    after = plain(text, edits)
+    assert tree.text == after and len(after) < 100
+    assert tree.total == counter.total(counter.cut(after))
+
+
+def test_an_address_is_taken_whole():
+    found = tc.edits_of("a.b@c.de, x@y.zz@u.vw (me@here.org) @no no@ x@y", tc.redactions())
+    assert [(b, e) for b, e, _ in found] == [(0, 8), (10, 16), (23, 34)]
