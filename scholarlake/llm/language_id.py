@@ -8,12 +8,13 @@ algorithm with an L1 and an L2 penalty, one rate per weight; probabilities are
 then calibrated with one temperature on texts that were not trained on.
 
 Document frequencies are counted over all training texts.  The regression is
-fitted on a sample of at most about ``sample`` texts per language, chosen by
-hash, the only bound here, by one task; only weights and counts are collected.
+fitted on a sample of about ``sample`` texts per language, at most twice as many
+in all, the only bound here, by one task; only weights and counts are collected.
+Ids are chosen by hash and stored with one text each, that of the smallest hash.
 
 A null text, or one without a letter, is ``und`` with score 0; so is every text
-if there is nothing to learn from.  Repeated rows get equal results; in
-training they count as often as they occur.  Rows with a null id are predicted
+if there is nothing to learn from.  Repeated rows get equal results; document
+frequencies count them as often as they occur, the sample once.  Rows with a null id are predicted
 like others and not learned from.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from scholarlake.llm.common import fresh, map_batches, remainder, slices
+from scholarlake.llm.common import fresh, map_batches, remainder, slices, stored
 from scholarlake.llm.tokens import BLOCK_BYTES, blocks
 
 UNKNOWN = "und"
@@ -219,7 +220,8 @@ def calibrated(scores: np.ndarray, labels: np.ndarray) -> float:
 def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from (doc_id, text, lang); rows with a null in them are not used."""
     usable = labelled.where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Ids, not rows: one with many rows is one text of the sample.
+    counted = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
     per_language = {r.lang: r.n for r in counted.collect()}
     languages = sorted(per_language)
     if not languages:
@@ -233,8 +235,19 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
         *(x for lang in languages
           for x in (F.lit(lang), F.lit(min(spread, spread * sample // per_language[lang]))))
     )
-    chosen = usable.where(place < share[F.col("lang")]).select(
-        "text", "lang", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(5)).alias("part")
+    # Combined in each task first: an id with many rows sends one per task.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    chosen = stored(
+        usable.where(place < share[F.col("lang")])
+        .groupBy("lang", "doc_id")
+        .agg(one)
+        .select(
+            place.alias("place"),
+            "one.hash",
+            "one.text",
+            "lang",
+            F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(5)).alias("part"),
+        )
     )
 
     def sparse(batch: pa.RecordBatch) -> dict:
@@ -244,7 +257,8 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
             cuts = np.searchsorted(of, np.arange(1, len(texts)))
             at += [part.tobytes() for part in np.split(buckets.astype(np.int32), cuts)]
             values += [part.tobytes() for part in np.split(times.astype(np.int32), cuts)]
-        return {"lang": batch.column("lang"), "part": batch.column("part"), "at": at, "n": values}
+        kept = ("place", "hash", "lang", "part")
+        return {c: batch.column(c) for c in kept} | {"at": at, "n": values}
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(batches, schema=arrow)
@@ -255,11 +269,13 @@ def train(labelled: DataFrame, sample: int = SAMPLE) -> Model | None:
 
     schema = "lang string, part bigint, at binary, n binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    # The limit holds the bound where many rows share an id.  One task fits the
-    # model; only the weights come to the driver.
+    # The limit makes the bound certain; its order is that of the ids' hashes.  One
+    # task fits the model; only the weights come to the driver.
     found = (
-        map_batches(chosen, sparse, schema)
+        map_batches(chosen, sparse, "place bigint, hash bigint, " + schema)
+        .orderBy("place", "lang", "hash", "part")
         .limit(2 * sample * len(languages))
+        .select("lang", "part", "at", "n")
         .coalesce(1)
         .mapInArrow(fit, "weights binary, temperature double")
         .first()
