@@ -23,7 +23,7 @@ from bisect import insort
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarlake.llm.common import map_batches, stored
@@ -32,6 +32,7 @@ from scholarlake.llm.tokens import bytes_of
 CAPACITY = 2048  # words
 GROUP_SIZE = 4096  # documents
 GROUP_BITS = 20  # of a bin's number; the rest is the group's
+COPIES = 4096  # of a repeated row that one task deals out at a time
 
 
 def best_fit(
@@ -113,12 +114,29 @@ def packed(
     doc_id, piece, start and length of the piece in the document, bin (a number
     unique over all groups), room (what its bin has left in the end).
     """
-    # Repeated rows are counted first and dealt out one by one.
-    counted = items.where("length > 0").groupBy("doc_id", "length", "source", "cluster").agg(
-        F.count(F.lit(1)).alias("copies")
+    # Repeated rows are counted first and dealt out one by one; of a row with many
+    # copies, ranges of them are dealt out first, so that no task makes them all.
+    counted = stored(
+        items.where("length > 0").groupBy("doc_id", "length", "source", "cluster").agg(
+            F.count(F.lit(1)).alias("copies")
+        )
+    )
+
+    def copies(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(first, last)).alias("copy")
+
+    row = ("doc_id", "length", "source", "cluster")
+    few = counted.where(F.col("copies") <= COPIES).select(*row, copies(F.lit(1), F.col("copies")))
+    ranges = counted.where(F.col("copies") > COPIES).select(
+        *row,
+        "copies",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("begin"),
+    )
+    many = ranges.repartition("doc_id", "begin").select(
+        *row, copies(F.col("begin") + 1, F.least(F.col("begin") + COPIES, "copies"))
     )
-    single = counted.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    total = items.where("length > 0").count()
+    single = few.unionAll(many)
+    total = counted.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     groups = max(1, -(-total // group_size))
     dealt = single.select(
         F.pmod(F.xxhash64("doc_id", "length", "source", "cluster", "copy"), F.lit(groups)).alias(
