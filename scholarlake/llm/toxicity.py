@@ -6,14 +6,21 @@ occurrences per hundred words.  A voter fires or abstains.
 
 The label model is generative: given the hidden class, every voter fires at its
 own rate; rates and the voters' correlations within the classes are estimated by
-expectation maximisation.  The posterior of each text, not its label, is what
-the classifier is trained on: a logistic regression on hashed words and beginnings,
-fitted by a follow-the-regularised-leader step per text.  Its scores are then
-calibrated on a fifth of the sample, weighted by how often the labels occur.
+expectation maximisation.  It is half supervised: gold labels choose the voters,
+are the first guess of the classes, give the share of toxic texts, and are a share
+``ANCHOR`` of what every round estimates from; the rest is the posterior.  Without
+that anchor rare voters are lost, as their texts drift to the other class.  All this
+is counted over all learnable labelled texts: texts with the same votes are one row,
+and a round is one aggregation of sums.
+
+The posterior of each text, not its label, is what the classifier is trained on:
+a logistic regression on hashed words and beginnings, fitted by a
+follow-the-regularised-leader step per text.  Its scores are then calibrated on a
+fifth of the sample, each text weighted by how many of its label it stands for.
 
 Only rows whose crc32 of the id as text does not leave 1 modulo 3 are learned
-from, on a sample of at most ``sample`` texts of either label; that is the only
-bound.  Null and empty texts are scored like texts without any such word.  With
+from.  The classifier, and nothing else, is fitted on a sample of at most
+``sample`` texts of either label, by one task; that is the only bound.  Null and empty texts are scored like texts without any such word.  With
 no toxic or no other labels to learn from, every score is 0.  Repeated rows get
 equal results; rows with a null id are scored and not learned from.
 """
@@ -21,18 +28,21 @@ equal results; rows with a null id are scored and not learned from.
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from scholarlake.llm.common import labelled_sample, map_batches, remainder
+from scholarlake.llm.common import labelled_sample, map_batches, remainder, stored
 from scholarlake.llm.language_id import follow_the_regularised_leader, with_constant
 from scholarlake.llm.tokens import Words, blocks, bytes_of, words
 
-SAMPLE = 2000  # texts of either label
+SAMPLE = 2000  # texts of either label, for the classifier
 VOTERS = 160
 BEGINNINGS = (4, 5, 6, 7)  # bytes
 RANGES = (0.4, 1.0)  # bounds of a voter's range, in occurrences per hundred words
@@ -43,6 +53,9 @@ TELLING = 15.0  # the same for the classifier's features, of which there are few
 L1 = 0.3
 BITS = 17
 THRESHOLD = 0.7
+ANCHOR = 0.5  # share of the gold label in what a round estimates from
+ROUNDS = 10  # of expectation maximisation
+UNIT = 1 << 24  # sums of probabilities are whole numbers of these parts: exact in any order
 
 
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +99,7 @@ class Voters:
 
 
 def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Voters:
-    """The voters of a stored sample (text, label) with so many texts of label 0 and 1."""
+    """The voters of labelled texts (text, label), so many of them of label 0 and of 1."""
 
     def count(batch: pa.RecordBatch) -> dict:
         labels = batch.column("label").to_numpy()
@@ -110,9 +123,9 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
             "level": mark[at] // 2,
             "label": mark[at] % 2,
             "n": np.diff(np.append(at, len(hashes))),
-            # Halves of 32 bits: their sums do not overflow.
-            "on1": np.add.reduceat(on >> np.uint64(32), at).view(np.int64) if len(at) else [],
-            "on2": np.add.reduceat(on & np.uint64(0xFFFFFFFF), at).view(np.int64) if len(at) else [],
+            # Two times 24 bits: their sums do not overflow below 2**39 texts.
+            "on1": np.add.reduceat(on >> np.uint64(40), at).view(np.int64) if len(at) else [],
+            "on2": np.add.reduceat(on & np.uint64(0xFFFFFF), at).view(np.int64) if len(at) else [],
         }
 
     clean, toxic = texts
@@ -156,37 +169,164 @@ def mined(sample: DataFrame, texts: tuple[int, int], most: int = VOTERS) -> Vote
     return Voters(hashes[order], best["level"].to_numpy()[order])
 
 
-def label_model(votes: np.ndarray, first: np.ndarray, rounds: int = 10) -> np.ndarray:
-    """P(toxic) of each text from its votes alone.
+@dataclass
+class LabelModel:
+    """Rates of firing of every voter in either class, and how voters agree within them.
 
-    ``first`` (a guess per text) sets where the estimation starts, and the share
-    of toxic texts.  Each voter has its rate of firing in either class, and a
-    text on which none fires is one more voter's: silence.  Voters are
-    correlated within the classes; what one adds to the log-odds is divided by
-    how much it agrees with all that fire with it, so that copies of a voter
-    count once together and independent ones in full.
+    A text on which no voter fires is one more voter's, the last: silence.  What
+    a voter adds to the log-odds is divided by how much it agrees with all that
+    fire with it, so that copies of a voter count once together and independent
+    ones in full.
     """
-    fires = np.column_stack([votes, ~votes.any(axis=1)]).astype(np.float64)
-    n, total = len(fires), float(first.sum())
-    prior = np.log(total + 1) - np.log(n - total + 1)
-    posterior = first.astype(np.float64)
-    for _ in range(rounds):
-        # The guess holds the estimation where few voters speak.
-        toxic = (posterior + first) / 2
-        total = toxic.sum()
-        on = (toxic @ fires + 0.5) / (total + 1)
-        off = ((1 - toxic) @ fires + 0.5) / (n - total + 1)
-        left = fires - np.outer(toxic, on) - np.outer(1 - toxic, off)
-        scale = np.sqrt((left * left).sum(axis=0)).clip(1e-9)
-        agreement = np.maximum(left.T @ left / np.outer(scale, scale), 0)
-        np.fill_diagonal(agreement, 1)
-        weight = fires / np.maximum(fires @ agreement, 1)
-        odds = prior + weight @ (np.log(on) - np.log(off))
+
+    prior: float  # log-odds of a toxic text
+    on: np.ndarray
+    off: np.ndarray
+    agreement: np.ndarray
+
+    def posterior(self, fires: np.ndarray) -> np.ndarray:
+        """P(toxic) of each text from its votes alone."""
+        weight = fires / np.maximum(fires @ self.agreement, 1)
+        odds = self.prior + weight @ (np.log(self.on) - np.log(self.off))
         # Voters that do not fire, each by its share of all that it agrees with.
-        quiet = QUIET * (np.log1p(-on) - np.log1p(-off)) / agreement.sum(axis=0)
+        quiet = QUIET * (np.log1p(-self.on) - np.log1p(-self.off)) / self.agreement.sum(axis=0)
         odds += (1 - fires[:, :-1]) @ quiet[:-1]
-        posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    return posterior
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
+
+def with_silence(votes: np.ndarray) -> np.ndarray:
+    return np.column_stack([votes, ~votes.any(axis=1)]).astype(np.float64)
+
+
+def sums(fires: np.ndarray, texts: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """In UNITs, of texts that are toxic with these probabilities: their number, the
+    sum of squares, and of every voter the toxic texts on which it fires."""
+    one = np.rint(toxic * UNIT).astype(np.int64) * texts
+    square = np.rint(toxic * toxic * UNIT).astype(np.int64) * texts
+    return np.concatenate([[one.sum(), square.sum()], fires.astype(np.int64).T @ one])
+
+
+def anchored(
+    fires: np.ndarray, texts: np.ndarray, gold: np.ndarray, posterior: np.ndarray, anchor: float
+) -> np.ndarray:
+    """The ``sums`` of posteriors mixed with gold labels, by which ``gold`` are toxic."""
+    mixed = (1 - anchor) * posterior
+    return sums(fires, gold, mixed + anchor) + sums(fires, texts - gold, mixed)
+
+
+def estimated(prior: float, texts: int, together: np.ndarray, found: np.ndarray) -> LabelModel:
+    """The model of ``sums`` and of how many texts any two voters fire on together."""
+    toxic, square, *both = found / UNIT
+    both, fired = np.array(both), together.diagonal()
+    on = (both + 0.5) / (toxic + 1)
+    off = (fired - both + 0.5) / (texts - toxic + 1)
+
+    def cross(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.outer(a, b) + np.outer(b, a)
+
+    # What the classes leave unexplained, summed over the texts: the products of
+    # fires - toxic * on - (1 - toxic) * off, multiplied out.
+    left = together - cross(both, on) - cross(fired - both, off)
+    left += square * np.outer(on, on) + (texts - 2 * toxic + square) * np.outer(off, off)
+    left += (toxic - square) * cross(on, off)
+    scale = np.sqrt(left.diagonal().clip(0)).clip(1e-9)
+    agreement = np.maximum(left / np.outer(scale, scale), 0)
+    np.fill_diagonal(agreement, 1)
+    return LabelModel(prior, on, off, agreement)
+
+
+def expectation_maximisation(
+    texts: int,
+    together: np.ndarray,
+    first: np.ndarray,
+    again: Callable[[LabelModel], np.ndarray],
+    rounds: int = ROUNDS,
+) -> LabelModel:
+    """From the ``sums`` of a first guess; ``again`` gives those of a model's posterior."""
+    toxic = first[0] / UNIT
+    prior = float(np.log(toxic + 1) - np.log(texts - toxic + 1))
+    model = estimated(prior, texts, together, first)
+    for _ in range(rounds - 1):
+        model = estimated(prior, texts, together, again(model))
+    return model
+
+
+def label_model(
+    votes: np.ndarray, first: np.ndarray, rounds: int = ROUNDS, anchor: float = ANCHOR
+) -> np.ndarray:
+    """P(toxic) of each text of a matrix of votes; ``first`` is the gold label of each."""
+    fires = with_silence(votes)
+    one, gold = np.ones(len(fires), np.int64), first.astype(np.int64)
+    model = expectation_maximisation(
+        len(fires),
+        fires.T @ fires,
+        sums(fires, gold, np.ones(len(fires))),
+        lambda model: anchored(fires, one, gold, model.posterior(fires), anchor),
+        rounds,
+    )
+    return model.posterior(fires)
+
+
+def patterns(texts: DataFrame, voters: Voters) -> DataFrame:
+    """(votes, n, toxic), stored: how many of (text, label) have just these votes."""
+
+    def vote(batch: pa.RecordBatch) -> dict:
+        raw, out = bytes_of(batch.column("text")), []
+        for low, high in blocks(raw):
+            w = words(raw[low:high])
+            fired = voters.votes(*rates(w, *features(w)), high - low)
+            out += [v.tobytes() for v in np.packbits(fired, axis=1)]
+        return {"votes": out, "label": batch.column("label")}
+
+    return stored(
+        map_batches(texts, vote, "votes binary, label int")
+        .groupBy("votes")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
+    )
+
+
+def unpacked(votes: pa.Array, voters: int) -> np.ndarray:
+    raw = np.frombuffer(b"".join(votes.to_pylist()), np.uint8).reshape(len(votes), -(-voters // 8))
+    return np.unpackbits(raw, axis=1, count=voters).astype(bool)
+
+
+def fitted_label_model(
+    counted: DataFrame, voters: int, rounds: int = ROUNDS, anchor: float = ANCHOR
+) -> LabelModel:
+    """The label model of stored ``patterns``; every round is one aggregation."""
+    size = voters + 1
+
+    def summed(rows: Callable[[np.ndarray, pa.RecordBatch], np.ndarray], length: int):
+        def over(batch: pa.RecordBatch) -> dict:
+            values = rows(with_silence(unpacked(batch.column("votes"), voters)), batch)
+            at = np.flatnonzero(values)
+            return {"at": at, "value": values[at].astype(np.int64)}
+
+        out = np.zeros(length)
+        added = map_batches(counted, over, "at bigint, value bigint").groupBy("at")
+        for row in added.agg(F.sum("value").alias("value")).collect():
+            out[row["at"]] = row["value"]
+        return out
+
+    def numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+        return batch.column(name).to_numpy()
+
+    def pairs(fires: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        return (fires.T @ (fires * numbers(batch, "n")[:, None])).ravel()
+
+    def labelled(fires: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+        return sums(fires, numbers(batch, "toxic"), np.ones(len(fires)))
+
+    def again(model: LabelModel) -> np.ndarray:
+        def told(fires: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+            n, gold = numbers(batch, "n"), numbers(batch, "toxic")
+            return anchored(fires, n, gold, model.posterior(fires), anchor)
+
+        return summed(told, size + 2)
+
+    texts = counted.agg(F.sum("n")).first()[0]
+    together = summed(pairs, size * size).reshape(size, size)
+    return expectation_maximisation(texts, together, summed(labelled, size + 2), again, rounds)
 
 
 @dataclass
@@ -210,24 +350,37 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, anchor: float = ANCHOR
+) -> Model | None:
     learnable = remainder("doc_id", 3) != 1
-    chosen = labelled_sample(docs, labels, "toxic", sample, learnable).select(
-        "doc_id", "text", "label"
+    known = (
+        labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & learnable)
+        .groupBy("doc_id")
+        .agg(F.min(F.col("toxic").cast("int")).alias("label"))
+        .where("label IN (0, 1)")
+    )
+    # Spark broadcasts the labels if they are small, else it splits a hot id.
+    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(known, "doc_id").select(
+        "text", "label"
     )
-    counted = chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    found = {r.label: r.n for r in counted.collect()}
+    found = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         return None
-    voters = mined(chosen.select("text", "label"), (found[0], found[1]))
+    voters = mined(texts, (found[0], found[1]))
+    model = fitted_label_model(patterns(texts, voters), len(voters.hashes), anchor=anchor)
+    looked_at = _bucket(voters.hashes)
+    looked_at = np.concatenate([looked_at, looked_at + (1 << BITS)])
+    stands_for = np.array([found[0], found[1]]) / (found[0] + found[1])
 
     def read(batch: pa.RecordBatch) -> dict:
         raw = bytes_of(batch.column("text"))
-        fired, ats, values = [], [], []
+        posterior, ats, values = [], [], []
         for low, high in blocks(raw):
             w = words(raw[low:high])
             hashes, owners = features(w)
-            fired += [v.tobytes() for v in voters.votes(*rates(w, hashes, owners), high - low)]
+            fired = voters.votes(*rates(w, hashes, owners), high - low)
+            posterior += model.posterior(with_silence(fired)).tolist()
             of, at, rate = rates(w, _bucket(hashes), owners)
             cuts = np.searchsorted(of, np.arange(1, high - low))
             for own, value in zip(np.split(at, cuts), np.split(rate, cuts), strict=True):
@@ -238,47 +391,73 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
         return {
             "doc_id": batch.column("doc_id").cast(pa.int64()),
             "label": batch.column("label"),
-            "votes": fired,
+            "posterior": posterior,
             "at": ats,
             "value": values,
         }
 
-    rows = (
-        map_batches(chosen, read, "doc_id bigint, label int, votes binary, at binary, value binary")
-        .toArrow()
-        .sort_by([("doc_id", "ascending"), ("at", "ascending")])
-        .to_pydict()
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, schema=arrow)
+        weights, bias = fitted(rows, stands_for, looked_at)
+        yield pa.RecordBatch.from_pydict({"weights": [weights.tobytes()], "bias": [bias]})
+
+    schema = "doc_id bigint, label int, posterior double, at binary, value binary"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    chosen = labelled_sample(docs, labels, "toxic", sample, learnable)
+    # One task fits the classifier; only the weights come to the driver.
+    got = (
+        map_batches(chosen.select("doc_id", "text", "label"), read, schema)
+        .coalesce(1)
+        .mapInArrow(fit, "weights binary, bias double")
+        .first()
     )
-    votes = np.stack([np.frombuffer(v, bool) for v in rows["votes"]])
-    first = np.array(rows["label"])
-    posterior = label_model(votes, first) if votes.shape[1] else first.astype(np.float64)
+    return Model(np.frombuffer(got.weights, np.float32), got.bias)
+
+
+def fitted(
+    rows: pa.Table, stands_for: np.ndarray, voters: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Calibrated weights and bias from (doc_id, label, posterior, at, value).
+
+    Both labels were sampled alike; ``stands_for`` is the share of either in all
+    texts, ``voters`` where the features are that voters look at.
+    """
+    rows = rows.sort_by([("doc_id", "ascending"), ("at", "ascending")])
+    posterior, label = rows["posterior"].to_numpy(), rows["label"].to_numpy()
     size = (2 << BITS) + 1
     vectors = [
-        with_constant(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32), size - 1)
-        for at, value in zip(rows.pop("at"), rows.pop("value"), strict=True)
+        with_constant(
+            np.frombuffer(at.as_py(), np.int32), np.frombuffer(value.as_py(), np.float32), size - 1
+        )
+        for at, value in zip(rows["at"], rows["value"], strict=True)
     ]
-    vectors = told_apart(vectors, posterior, size)
-    held = np.array([zlib.crc32(b"part" + str(i).encode()) % 5 == 0 for i in rows["doc_id"]])
-    fitted = np.flatnonzero(~held)
+    vectors = told_apart(vectors, posterior, size, voters)
+    ids = rows["doc_id"].to_pylist()
+    held = np.array([zlib.crc32(b"part" + str(i).encode()) % 5 == 0 for i in ids])
+    trained = np.flatnonzero(~held)
     weights = follow_the_regularised_leader(
-        [vectors[i] for i in fitted],
-        np.stack([1 - posterior, posterior], axis=1)[fitted],
+        [vectors[i] for i in trained],
+        np.stack([1 - posterior, posterior], axis=1)[trained],
         size,
         L1,
     )
     weights = weights[:, 1] - weights[:, 0]
-    # Both labels were sampled alike; a text counts as often as it stands for others.
-    share = labels.where(learnable & F.col("toxic").isNotNull()).agg(F.avg("toxic")).first()[0]
-    counts = posterior * share / found[1] + (1 - posterior) * (1 - share) / found[0]
+    counts = (stands_for / np.bincount(label, minlength=2).clip(1))[label]
     told = np.array([x @ weights[at] for at, x in vectors])
-    scale, shift = calibrated(told[held], posterior[held], counts[held] * len(held))
-    return Model((weights[:-1] * scale).astype(np.float32), float(weights[-1] * scale + shift))
+    scale, shift = calibrated(told[held], posterior[held], counts[held] * held.sum())
+    return (weights[:-1] * scale).astype(np.float32), float(weights[-1] * scale + shift)
 
 
 def told_apart(
-    vectors: list[tuple[np.ndarray, np.ndarray]], posterior: np.ndarray, size: int
+    vectors: list[tuple[np.ndarray, np.ndarray]],
+    posterior: np.ndarray,
+    size: int,
+    voters: np.ndarray,
 ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The vectors without features that say nothing of the class; the last feature stays."""
+    """The vectors without features that say nothing of the class.
+
+    The last feature stays, and so do those at ``voters``, which voters look at.
+    """
     texts = np.stack([1 - posterior, posterior])
     have = np.zeros((2, size))
     for (at, _), weight in zip(vectors, texts.T, strict=True):
@@ -289,6 +468,7 @@ def told_apart(
         information = 2 * np.nansum(have * np.log(have / expected), axis=0)
     kept = information >= TELLING
     kept[-1] = True
+    kept[voters] = True
     return [(at[kept[at]], x[kept[at]]) for at, x in vectors]
 
 

@@ -1,0 +1,109 @@
+"""The label model: its sums against plain matrices, in Spark against in memory, and
+that posteriors come from votes; gold labels are a share of what a round estimates from."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from scholarlake.llm import toxicity as tx
+
+
+def votes_of(rng, n=400, voters=11):
+    hidden = rng.random(n) < 0.3
+    votes = rng.random((n, voters)) < np.where(hidden[:, None], 0.4, 0.02)
+    votes[:, 3] = votes[:, 2]  # copies of each other
+    return hidden, votes
+
+
+def plain_model(votes, toxic):
+    """Rates, and agreement as the correlation of what the rates do not explain."""
+    fires = tx.with_silence(votes)
+    n, total = len(fires), toxic.sum()
+    on = np.array([(toxic * f).sum() + 0.5 for f in fires.T]) / (total + 1)
+    off = np.array([((1 - toxic) * f).sum() + 0.5 for f in fires.T]) / (n - total + 1)
+    left = np.array([f - t * on - (1 - t) * off for f, t in zip(fires, toxic)])
+    agreement = np.zeros((len(on), len(on)))
+    for a in range(len(on)):
+        for b in range(len(on)):
+            length = np.linalg.norm(left[:, a]) * np.linalg.norm(left[:, b])
+            agreement[a, b] = 1 if a == b else max(0, left[:, a] @ left[:, b] / max(length, 1e-18))
+    return on, off, agreement
+
+
+def test_estimates_are_those_of_plain_matrices():
+    rng = np.random.default_rng(1)
+    _, votes = votes_of(rng)
+    toxic = np.round(rng.random(len(votes)) * tx.UNIT) / tx.UNIT
+    fires = tx.with_silence(votes)
+    found = tx.sums(fires, np.ones(len(fires), np.int64), toxic)
+    model = tx.estimated(0.0, len(fires), fires.T @ fires, found)
+    on, off, agreement = plain_model(votes, toxic)
+    assert np.allclose(model.on, on) and np.allclose(model.off, off)
+    assert np.allclose(model.agreement, agreement, atol=1e-5)
+    assert model.agreement[2, 3] == pytest.approx(1)
+
+
+def counted(spark, votes, labels):
+    rows = [(bytearray(v.tobytes()), int(y)) for v, y in zip(np.packbits(votes, axis=1), labels)]
+    df = spark.createDataFrame(rows, "votes binary, label int")
+    return df.groupBy("votes").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic")
+    )
+
+
+def test_the_aggregated_model_is_that_in_memory(spark):
+    rng = np.random.default_rng(2)
+    hidden, votes = votes_of(rng)
+    labels = hidden ^ (rng.random(len(hidden)) < 0.1)
+    rows = counted(spark, votes, labels)
+    models = [
+        tx.fitted_label_model(rows.repartition(n, "votes"), votes.shape[1]) for n in (1, 7)
+    ]
+    fires = tx.with_silence(votes)
+    got = [m.posterior(fires) for m in models]
+    assert np.array_equal(*got)  # whole numbers are added: exact in any order
+    assert np.allclose(got[0], tx.label_model(votes, labels), atol=1e-4)
+
+
+@pytest.mark.xfail(
+    strict=True,
+    reason="QUIET halves what voters say that do not fire: 0.87 to 0.88 on independent"
+    " voters, 0.97 to 0.98 by Bayes' rule with the true rates",
+)
+def test_independent_voters_are_used_in_full():
+    rng = np.random.default_rng(2)
+    hidden, votes = votes_of(rng)
+    labels = hidden ^ (rng.random(len(hidden)) < 0.1)
+    assert ((tx.label_model(votes, labels) > 0.5) == hidden).mean() > 0.9
+
+
+def test_gold_labels_do_not_hold_the_posterior():
+    """Voters that know nothing of the labels do not follow them."""
+    rng = np.random.default_rng(3)
+    labels = rng.random(2000) < 0.3
+    votes = rng.random((2000, 40)) < 0.1
+    p = tx.label_model(votes, labels)
+    assert abs(np.corrcoef(p, labels)[0, 1]) < 0.2
+    # Nor does one wrong label change what equal votes say.
+    same = np.zeros((2000, 2), bool)
+    same[:600] = True
+    p = tx.label_model(same, np.arange(2000) < 570)
+    assert np.ptp(p[:600]) == 0 and p[0] > 0.9 and p[-1] < 0.1
+
+
+def test_no_voters_and_no_text(spark):
+    labels = np.array([0, 1, 1])
+    model = tx.fitted_label_model(counted(spark, np.zeros((3, 0), bool), labels), 0)
+    assert model.posterior(tx.with_silence(np.zeros((2, 0), bool))).tolist() == pytest.approx([0.6] * 2, abs=0.1)
+
+
+def test_all_labelled_texts_are_counted(spark):
+    """A word that is rare among toxic texts is a voter, however small the sample is."""
+    filler = " ".join("abcdefgh")
+    rows = [(2 * i, f"{filler} {'dastardly' if i < 60 else 'horrid'} t{i}", 1) for i in range(1200)]
+    rows += [(2 * i + 1, f"{filler} c{i}", 0) for i in range(1200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    model = tx.train(docs, labels, sample=200)
+    scores = model.score([f"{filler} dastardly".encode(), f"{filler} horrid".encode(), filler.encode()])
+    assert scores[0] > 0.7 and scores[1] > 0.7 and scores[2] < 0.3
