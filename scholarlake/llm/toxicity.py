@@ -32,12 +32,15 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from scholarlake.llm.bitmap import bitmap
+from scholarlake.llm.bitmap import found as found_in
 from scholarlake.llm.common import labelled_sample, map_batches, remainder, stored
 from scholarlake.llm.language_id import follow_the_regularised_leader, with_constant
 from scholarlake.llm.tokens import Words, blocks, bytes_of, words
@@ -350,6 +353,27 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - BITS)).astype(np.int64)
 
 
+def labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, label), stored: every row of ``docs`` with a text and an id of ``known``.
+
+    ``known`` (doc_id, label) has each id once.  A filter of its ids keeps most other
+    texts out of the shuffle; beyond some eight million ids more of them pass.
+    """
+    bits = min(max(20, (16 * known.count()).bit_length()), 27)  # 128 KB to 16 MB
+    hashed = F.xxhash64(F.col("doc_id").cast("long"))
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        bitmap(known.select(hashed.alias("hash")), "hash", bits)
+    )
+
+    @F.pandas_udf("boolean")
+    def passes(hashes: pd.Series) -> pd.Series:
+        return pd.Series(found_in(shipped.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    likely = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").where(passes(hashed))
+    # Spark broadcasts the labels if they are small, else it splits a hot id.
+    return stored(likely.select("doc_id", "text").join(known, "doc_id").select("text", "label"))
+
+
 def train(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, anchor: float = ANCHOR
 ) -> Model | None:
@@ -360,10 +384,7 @@ def train(
         .agg(F.min(F.col("toxic").cast("int")).alias("label"))
         .where("label IN (0, 1)")
     )
-    # Spark broadcasts the labels if they are small, else it splits a hot id.
-    texts = docs.where("text IS NOT NULL").select("doc_id", "text").join(known, "doc_id").select(
-        "text", "label"
-    )
+    texts = labelled(docs, stored(known))
     found = {r.label: r.n for r in texts.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(found) < 2:
         return None
