@@ -54,7 +54,7 @@ def test_tables_share_the_bytes_that_may_be_broadcast(spark, tmp_path, monkeypat
 
     monkeypatch.setattr(job.dedup, "keep_first", keep_first)
     rows = spark.createDataFrame([("f", 0, '{"id":"a"}')], "file_key string, line_no long, value string")
-    job._staged(rows, ENTITIES["works"], str(tmp_path / "s"), 600)
+    job._staged(rows, ENTITIES["works"], str(tmp_path / "s"), 600, 1 << 20)
     assert seen == [600 // len(ENTITIES["works"])]
 
 
