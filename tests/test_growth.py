@@ -80,3 +80,16 @@ def test_narrow_rows_are_dealt_out_by_their_number(spark, monkeypatch):
     for lines in (workload_lines.topic_lines, workload_lines.work_lines):
         assert "REPARTITION_BY_NUM" in plan(lines(spark, SMALL))
     assert "REPARTITION_BY_NUM" in plan(QUERIES["json_text_sorted_keys"](spark, SMALL))
+
+
+def test_what_is_parsed_is_computed_before_the_parser(spark):
+    rows = spark.createDataFrame([("f", 0, "{}")], "file_key string, line_no long, value string")
+    records = parse_records(rows, [TABLES["works_citations"]])
+    text = records._jdf.queryExecution().optimizedPlan().toString()
+    steps = [" ".join(step.split()) for step in text.split("Project [")]
+    parsers = [step for step in steps if "from_json(" in step]
+    assert len(parsers) == 2
+    # No validation and no concatenation stands in the argument of a parser.
+    assert not any("validateUTF8String" in step or "concat({" in step for step in parsers)
+    # Blank lines and values that are no objects, which the parser would fail on, stay out.
+    assert any("CASE WHEN StartsWith(ltrim(value" in step and "concat({" in step for step in steps)
