@@ -262,42 +262,56 @@ def malformed_lines(lines: DataFrame, tables: Sequence[RecordTable]) -> DataFram
     variants = ", ".join(f"`{key}`: variant" for key in shape)
     line = F.col("value")
     unsound = F.when(~F.is_valid_utf8(line), NOT_UTF8).when(_half_pair(line), HALF_PAIR)
+    # What is used more than once, or below a parser, which is not compiled, is a column of
+    # its own.
     sound = lines.withColumn("reason", unsound).withColumn(
         "sound", F.when(F.col("reason").isNull() & ~line.rlike(BLANK_LINE), line)
     )
     sound_line = F.col("sound")
+    is_object = F.coalesce(_is_object(sound_line), F.lit(False))
+    framed = sound.withColumns(
+        {
+            "framed": F.when(is_object, enclosed(sound_line)),
+            "listed": F.when(~is_object, F.concat(F.lit("["), sound_line, F.lit(f',"{ours}"]'))),
+        }
+    )
     objects = F.from_json(
-        F.when(_is_object(sound_line), enclosed(sound_line)),
+        F.col("framed"),
         f"`{ours}` array<struct<{variants}, `{ours}`: boolean>>, {CORRUPT} string",
         {**STRICT_SYNTAX, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
-    others = F.try_parse_json(
-        F.when(~_is_object(sound_line), F.concat(F.lit("["), sound_line, F.lit(f',"{ours}"]')))
-    )
-    read = sound.withColumns({"object": objects, "other": others})
+    others = F.try_parse_json(F.col("listed"))
+    read = framed.withColumns({"object": objects, "other": others})
     found = F.col("object")[ours]
+    is_framed = F.col("framed").isNotNull()
     whole = F.when(
-        _is_object(sound_line), F.col("object")[CORRUPT].isNull() & one_value(found)
+        is_framed, F.col("object")[CORRUPT].isNull() & one_value(found)
     ).otherwise(js.text(js.element(F.col("other"), 1)) == ours)
     record = F.get(found, F.lit(0))
-    too_large = F.lit(False)
+    # The numbers of the whole line are looked at once, and where one of the values may hold some.
+    fractional = too_large = F.lit(False)
     for key, part in shape.items():
         if part == JSON:
-            own = once(numbers.with_doubles(sound_line), numbers.beyond_double)
-            own = js.fractional(record[key]) & own
-        else:
-            own = infinite(strict(record[key], part), part)
-        if own is not None:
+            fractional = fractional | F.coalesce(js.fractional(record[key]), F.lit(False))
+        elif (own := infinite(strict(record[key], part), part)) is not None:
             too_large = too_large | F.coalesce(own, F.lit(False))
+    beyond = once(
+        once(F.when(fractional, sound_line), numbers.with_doubles), numbers.beyond_double
+    )
+    too_large = too_large | F.coalesce(beyond, F.lit(False))
     reason = (
         F.when(F.col("reason").isNotNull() | sound_line.isNull(), F.col("reason"))
         .when(~F.coalesce(whole, F.lit(False)), NOT_ONE_VALUE)
-        .when(_is_object(sound_line) & too_large, TOO_LARGE)
+        .when(is_framed & too_large, TOO_LARGE)
     )
-    return (
-        read.select("file_key", "line_no", reason.alias("reason"))
-        .where(F.col("reason").isNotNull())
+    told = read.select(
+        "file_key",
+        "line_no",
+        reason.alias("reason"),
+        # In use below, so that the filter does not move under the parse and repeat it.
+        F.monotonically_increasing_id().alias("arrival"),
     )
+    return told.where(F.col("reason").isNotNull() & (F.col("arrival") >= 0)).drop("arrival")
 
 
 def table_rows(records: DataFrame, table: RecordTable) -> DataFrame:

@@ -45,3 +45,10 @@ def test_bytes(spark):
 def test_no_shuffle(lines):
     plan = malformed_lines(lines("{}"), ENTITIES["works"])._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_a_line_is_parsed_once_for_the_report(lines):
+    told = malformed_lines(lines('{"id":"a"}', "x"), ENTITIES["institutions"])
+    text = told._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1
+    assert text.count("USER_RAISED") == 0
