@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from scholarlake.functions.strict_json import once
+
 # Characters that valid JSON text cannot hold unescaped.
 MASKS = (("\\\\", "\x01"), ('\\"', "\x02"))
 
@@ -47,6 +49,10 @@ MINUS_ZERO = "-0(?![.0-9])"
 WITH_EXPONENT = r"-?[0-9]+(?:\.[0-9]+)?[eE][+-]?[0-9]+"
 JVM_DOUBLE = r"-?[0-9]+\.[0-9]+E-?[0-9]+"
 
+# The least characters of what TO_DOUBLE and JVM_DOUBLE find: most text between strings has
+# fewer, and is not searched.
+LEAST_TO_DOUBLE, LEAST_JVM_DOUBLE = len("-0"), len("1.0E5")
+
 
 def perhaps(line: Column, known: Sequence[str] = ()) -> Column:
     """Whether text may hold a number that ``with_doubles`` changes, or one with an exponent.
@@ -76,10 +82,15 @@ def _masked(text: Column) -> Column:
     return text
 
 
-def _outside(text: Column, change: Callable[[Column], Column]) -> Column:
-    """JSON text with what is outside of its strings changed."""
+def _outside(text: Column, least: int, change: Callable[[Column], Column]) -> Column:
+    """JSON text with what is outside of its strings, and of ``least`` characters, changed."""
     parts = F.split(_masked(text), '"', -1)
-    changed = F.transform(parts, lambda part, i: F.when(i % 2 == 0, change(part)).otherwise(part))
+
+    def changed_part(part: Column, i: Column) -> Column:
+        changes = (i % 2 == 0) & (F.octet_length(part) >= least)
+        return F.when(changes, change(part)).otherwise(part)
+
+    changed = F.transform(parts, changed_part)
     out = F.array_join(changed, '"')
     for escape, mask in reversed(MASKS):
         out = F.replace(out, F.lit(mask), F.lit(escape))
@@ -88,7 +99,9 @@ def _outside(text: Column, change: Callable[[Column], Column]) -> Column:
 
 def with_doubles(text: Column) -> Column:
     """JSON text in which every number that is no 64-bit integer has an exponent."""
-    return _outside(text, lambda part: F.regexp_replace(part, TO_DOUBLE, "$1e0"))
+    return _outside(
+        text, LEAST_TO_DOUBLE, lambda part: F.regexp_replace(part, TO_DOUBLE, "$1e0")
+    )
 
 
 def beyond_double(text: Column) -> Column:
@@ -100,10 +113,15 @@ def beyond_double(text: Column) -> Column:
 
 def _shortest(number: Column) -> Column:
     """A double with an exponent, as the JVM prints it, in the form of JSON text."""
-    sign = F.when(number.startswith("-"), "-").otherwise("")
-    first = F.regexp_extract(number, r"([0-9])\.", 1)
-    rest = F.regexp_extract(number, r"\.([0-9]+)E", 1)
-    power = F.regexp_extract(number, r"E(-?[0-9]+)", 1).cast("int")
+    return once(F.split(F.translate(number, "E", "."), r"\."), _of_parts)
+
+
+def _of_parts(parts: Column) -> Column:
+    """The same from a double's digit with its sign, its fraction and its exponent."""
+    sign = F.when(parts[0].startswith("-"), "-").otherwise("")
+    first = F.right(parts[0], F.lit(1))
+    rest = parts[1]
+    power = parts[2].cast("int")
     short = F.when(rest == "0", "").otherwise(rest)
     before = F.rpad(rest, F.greatest(power, F.lit(0)), F.lit("0"))
     behind = F.when(
@@ -132,4 +150,5 @@ def shortest(text: Column) -> Column:
             F.zip_with(between, numbers, lambda a, n: F.concat(a, F.coalesce(n, F.lit("")))), ""
         )
 
-    return F.when(text.rlike("[0-9]E-?[0-9]"), _outside(text, change)).otherwise(text)
+    some = text.rlike("[0-9]E-?[0-9]")
+    return F.when(some, _outside(text, LEAST_JVM_DOUBLE, change)).otherwise(text)

@@ -11,6 +11,8 @@ that is not SQL NULL, which is what ``present`` and ``compact`` rely on.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,3 +105,13 @@ def joined(texts: Column, separator: str = "; ") -> Column:
 def first(values: Column) -> Column:
     """The first element that is not NULL."""
     return F.get(F.array_compact(values), F.lit(0))
+
+
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that it uses several times, and that is computed once.
+
+    Spark may compute a part that occurs several times in advance, for all rows, even
+    where it stands below a condition that few rows meet; below another function of
+    arrays it computes it every time.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))

@@ -28,6 +28,7 @@ from scholarlake.functions.shape import (
     strict,
     trusted,
 )
+from scholarlake.functions.strict_json import once
 
 # from_json() accepts more than JSON unless told otherwise.
 STRICT_SYNTAX = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -202,15 +203,6 @@ def _as_text(
     ).drop(*text.values())
 
 
-def once(value: Column, fn: Callable[[Column], Column]) -> Column:
-    """``fn`` of a value that it uses several times, and that is computed once.
-
-    Spark may compute a part that occurs several times in advance, for all rows, even
-    where it stands below a condition that few rows meet.
-    """
-    return F.get(F.transform(F.array(value), fn), F.lit(0))
-
-
 def _enclosing(ours: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
     """What puts a line into an array of ``ours``, and what tells that it is one value there."""
 

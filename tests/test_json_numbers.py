@@ -88,3 +88,10 @@ def test_patterns_of_integers_beyond_64_bits(spark):
     df = spark.createDataFrame([(str(v),) for v in values], "s string")
     got = [r[0] for r in df.select(jn.with_doubles(F.col("s"))).collect()]
     assert got == [f"{v}e0" if v > jn.GREATEST else str(v) for v in values]
+
+
+def test_a_double_is_taken_apart_once(spark):
+    df = spark.createDataFrame([('[1.0E19,-1.5E-7,"1.0E19"]',)], "t string")
+    out = df.select(jn.shortest(F.col("t")).alias("t"))
+    assert out.first().t == '[1e19,-1.5e-7,"1.0E19"]'
+    assert "regexp_extract(" not in out._jdf.queryExecution().optimizedPlan().toString()
