@@ -1,6 +1,8 @@
 """First record per id, in both physical forms."""
 
+import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from scholarlake import TABLES, entity_table
 from scholarlake.operators import dedup
 from scholarlake.operators.records import parse_records, table_rows
+from scholarlake.plans import job
 
 
 def make(spark, rows):
@@ -84,3 +87,66 @@ def test_order_of_lines_in_partitions_does_not_matter(spark):
 def test_children_of_dropped_records_do_not_appear(spark):
     rows = [(0, 0, "a", 0), (0, 1, "a", 2), (1, 0, "b", 1), (1, 1, "b", 2)]
     assert result(entity_table(make(spark, rows), "works_citations")) == [("b", "1-0")]
+
+
+def twice(lines):
+    """Two files with an id on each line number; the copies in the second one are lost."""
+    return [(f, n, f"u{n}", 1) for f in (0, 1) for n in lines]
+
+
+def stored(spark, rows, tmp_path, files=1):
+    table = TABLES["works_citations"]
+    path = str(tmp_path / "records")
+    parsed = parse_records(make(spark, rows), [table]).drop("arrival")
+    parsed.repartition(files, "line_no").write.parquet(path)
+    records = spark.read.parquet(path)
+    dedup.duplicated_ids(records).write.parquet(str(tmp_path / "duplicated"))
+    return table, records, spark.read.parquet(str(tmp_path / "duplicated"))
+
+
+def test_many_duplicates_are_told_by_a_bit_per_line(spark, tmp_path):
+    """Their ids do not fit, their lines do: records are neither shuffled nor stored again."""
+    edges = [*range(2000), 32766, 32767, 32768, 32769, 65535, 65536, 8_000_000_000]
+    rows = [*twice(edges), (1, 7_777, "once", 2), (1, 40_000, "u5", 1)]
+    table, records, duplicated = stored(spark, rows, tmp_path)
+    limit = 60_000
+    assert duplicated.count() * dedup.BYTES_PER_ROW > limit
+    kept_path = tmp_path / "kept"
+    kept = dedup.keep_first(
+        records, duplicated, str(tmp_path / "losers"), limit, str(kept_path), 3
+    )
+    assert kept.columns == records.columns and not kept_path.exists()
+    df = table_rows(kept, table)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text and "SortMergeJoin" not in text
+    assert result(df) == expected(rows)
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    folders = env.blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*.data")}
+
+
+def test_records_are_shuffled_in_parts_that_leave_nothing(spark, tmp_path, monkeypatch):
+    rows = twice(range(500))
+    table, records, duplicated = stored(spark, rows, tmp_path, 12)
+    read = []
+    repartition = type(records).repartition
+
+    def seen(df, *args):
+        read.append(df.count())
+        return repartition(df, *args)
+
+    monkeypatch.setattr(type(records), "repartition", seen)
+    before = shuffle_files(spark)
+    with job.settings(spark, job.FREED):
+        kept = dedup.keep_first(
+            records, duplicated, str(tmp_path / "losers"), 0, str(tmp_path / "kept"), 6, 3
+        )
+    assert len(read) == 3 and sum(read) == len(rows) and max(read) < len(rows)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert result(table_rows(kept, table)) == expected(rows)

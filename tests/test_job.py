@@ -138,6 +138,18 @@ def test_session_settings_are_taken_back(spark, snapshot):
         scholarlake.configure(spark)
 
 
+def test_shuffle_files_go_with_their_job(spark, snapshot, monkeypatch):
+    fill(snapshot)
+    (key,) = job.FREED
+    seen = []
+    monkeypatch.setattr(
+        job, "table_rows", lambda r, t, rows=job.table_rows: seen.append(spark.conf.get(key)) or rows(r, t)
+    )
+    before = spark.conf.get(key)
+    run(spark, snapshot.root, snapshot.out, ["works"], broadcast_bytes=0)
+    assert set(seen) == {"true"} and spark.conf.get(key) == before
+
+
 def test_the_first_failure_ends_the_run(spark, snapshot):
     fill(snapshot)
     snapshot.add("topics", "2024-01-03", "part_000.gz", '{"id":"x"')
